@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -21,6 +22,9 @@ from pulseframe.schemas import (
     SENSOR_TARGETS,
 )
 
+MOST_ROWS_PER_TASK = 500_000
+LEAST_ROWS_PER_TASK = 2_000
+
 
 @dataclass(frozen=True)
 class ForestSettings:
@@ -87,6 +91,23 @@ def pressure_pipeline(
     )
 
 
+def sized_for_training(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Spread a training set over tasks by its keys.
+
+    Forest training keeps one count per tree beside every row, so partitions
+    cut by file size would be far too large in memory: no task gets more than
+    about MOST_ROWS_PER_TASK. And one small file must not train on one core:
+    the cores are used as long as each gets LEAST_ROWS_PER_TASK. Counting a
+    staged table reads only the split's key columns.
+    """
+    rows = df.count()
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    tasks = max(
+        math.ceil(rows / MOST_ROWS_PER_TASK), min(cores, math.ceil(rows / LEAST_ROWS_PER_TASK))
+    )
+    return df.repartition(tasks, *keys) if tasks > 1 else df
+
+
 def train_and_evaluate(
     features: DataFrame,
     settings: ForestSettings = ForestSettings(),
@@ -98,7 +119,7 @@ def train_and_evaluate(
     Training makes several passes: hand in a staged or persisted table.
     """
     train, test = key_split(features, keys, settings.train_ratio, settings.seed)
-    model = pressure_pipeline(settings, handle_invalid).fit(train)
+    model = pressure_pipeline(settings, handle_invalid).fit(sized_for_training(train, keys))
     predictions = model.transform(test)
     return Evaluated(model, predictions, regression_metrics(predictions, BATCH_LABEL))
 
@@ -130,7 +151,7 @@ def train_dual_target(
     """
     columns = list(keys or [*SENSOR_FEATURES, *SENSOR_TARGETS])
     train, test = key_split(readings, columns, settings.train_ratio, settings.seed)
-    model = sensor_pipeline(settings).fit(train)
+    model = sensor_pipeline(settings).fit(sized_for_training(train, columns))
     predictions = model.transform(test)
     return Evaluated(model, predictions, dual_target_metrics(predictions))
 

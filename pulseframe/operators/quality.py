@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -46,7 +47,7 @@ def step_counts(classified: DataFrame, key: Sequence[str] = tuple(OBSERVATION_KE
     return wide.agg(
         F.sum("n_readings").alias("n_readings"),
         F.count(F.lit(1)).alias("n_observations"),
-        F.count_if(F.size(missing_fields(REQUIRED_VITALS)) == 0).alias("n_complete"),
+        F.count_if(has_all(REQUIRED_VITALS)).alias("n_complete"),
     )
 
 
@@ -55,8 +56,13 @@ def repeated_keys(df: DataFrame, key: str) -> DataFrame:
     return df.groupBy(key).agg(F.count(F.lit(1)).alias("n_rows")).where(F.col("n_rows") > 1)
 
 
+def has_all(required: Sequence[str]) -> Column:
+    """Whether no required field is NULL or NaN."""
+    return reduce(lambda a, b: a & b, [~is_missing(F.col(c)) for c in required])
+
+
 def missing_fields(required: Sequence[str]) -> Column:
-    """Array column: which required fields are NULL or NaN."""
+    """Array: which required fields are NULL or NaN."""
     named = [F.when(is_missing(F.col(c)), F.lit(c)) for c in required]
     return F.array_compact(F.array(*named))
 
@@ -66,6 +72,5 @@ def split_complete(df: DataFrame, required: Sequence[str]) -> tuple[DataFrame, D
 
     Works on streams too. Together the two hold every input row once.
     """
-    tagged = df.withColumn("missing", missing_fields(required))
-    usable = tagged.where(F.size("missing") == 0).drop("missing")
-    return usable, tagged.where(F.size("missing") > 0)
+    usable = has_all(required)
+    return df.where(usable), df.where(~usable).withColumn("missing", missing_fields(required))

@@ -26,8 +26,13 @@ def with_measurement(readings: DataFrame, groups: Mapping[str, Sequence[int]]) -
 
 
 def classify(readings: DataFrame, groups: Mapping[str, Sequence[int]]) -> DataFrame:
-    """Adds `measurement` and keeps only readings of a listed vital sign."""
-    return with_measurement(readings, groups).where(F.col("measurement") != OTHER)
+    """Adds `measurement` and keeps only readings of a listed vital sign.
+
+    Not being Other means having a listed code; tested on the code itself, the
+    condition reaches the scan.
+    """
+    listed = readings.where(F.col("itemid").isin(all_codes(groups)))
+    return with_measurement(listed, groups)
 
 
 def classify_by_dimension(readings: DataFrame, codes: DataFrame) -> DataFrame:

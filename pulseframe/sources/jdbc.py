@@ -65,7 +65,7 @@ def modulus_slices(columns: Sequence[str], slices: int) -> list[str]:
     Adding a column that differs between the rows of one admission, such as the
     item code or a row number, spreads a huge admission over all slices.
     """
-    total = " + ".join(f"COALESCE({column}, 0)" for column in columns)
+    total = " + ".join(f"MOD(COALESCE({column}, 0), {slices})" for column in columns)
     return [f"ABS(MOD({total}, {slices})) = {part}" for part in range(slices)]
 
 

@@ -17,7 +17,9 @@ def parse_messages(
 
     A message that is not JSON, or a field of the wrong type, gives NULLs and
     not an error: split_complete separates such rows before scoring.
+
+    The struct is unpacked by a generator of one row, so each message is parsed
+    once; a plain `data.*` would parse it again for every field that a later
+    filter or expression names.
     """
-    return messages.select(*keep, parse_sensor_payload(F.col(value)).alias("data")).select(
-        *keep, "data.*"
-    )
+    return messages.select(*keep, F.inline(F.array(parse_sensor_payload(F.col(value)))))
