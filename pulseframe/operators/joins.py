@@ -55,13 +55,13 @@ def frequent_keys(df: DataFrame, key: str) -> dict:
             F.count(F.lit(1)).alias("rows"),
         )
     )
-    merged = local.agg(
+    # Grouping by a constant leaves an empty input empty: there is no sketch to merge.
+    merged = local.groupBy(F.lit(1).alias("all")).agg(
         F.expr(f"approx_top_k_combine(sketch, {tracked})").alias("sketch"),
         F.sum("rows").alias("rows"),
     )
     hot = (
-        merged.where(F.col("rows") > 0)
-        .select(F.explode(F.expr(f"approx_top_k_estimate(sketch, {most})")).alias("top"), "rows")
+        merged.select(F.explode(F.expr(f"approx_top_k_estimate(sketch, {most})")).alias("top"), "rows")
         .select(F.col("top.item").alias("key"), (F.col("top.count") / F.col("rows")).alias("share"))
         .where(F.col("share") > share)
     )

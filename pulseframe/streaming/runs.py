@@ -45,5 +45,9 @@ def wait_until_stopped(query: StreamingQuery) -> None:
 
 
 def records_per_batch(query: StreamingQuery) -> dict[int, int]:
-    """Input rows of the recent batches, from Spark's own progress reports: no extra job."""
+    """Input rows of the recent batches, from Spark's own progress reports: no extra job.
+
+    A foreachBatch handler that reads its batch several times without persisting
+    it is reported with a multiple.
+    """
     return {p["batchId"]: p["numInputRows"] for p in query.recentProgress}

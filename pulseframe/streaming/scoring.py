@@ -19,12 +19,14 @@ BatchHandler = Callable[[DataFrame, int], None]
 
 
 def counting_handler(out: str, by: Sequence[str] = ()) -> BatchHandler:
-    """Writes each non-empty batch's record count (per group of `by`)."""
+    """Writes each batch's record count (per group of `by`); an empty batch adds no row.
+
+    One action per batch: asking for emptiness first would read the source twice.
+    """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        if not batch.isEmpty():
-            counts = batch.groupBy(*by).agg(F.count(F.lit(1)).alias("n_records"))
-            write_batch(counts, out, batch_id)
+        counts = batch.groupBy(*by).agg(F.count(F.lit(1)).alias("n_records"))
+        write_batch(counts.where(F.col("n_records") > 0), out, batch_id)
 
     return handle
 
@@ -60,10 +62,10 @@ def scoring_handler(
         return model
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        if batch.isEmpty():
-            return
         batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
+            if batch.isEmpty():
+                return
             usable, unusable = split_complete(batch, SENSOR_FEATURES)
             model = current_model(usable)
             if model is None:
