@@ -11,6 +11,7 @@ from pyspark.ml.feature import StringIndexer, VectorAssembler
 from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.storagelevel import StorageLevel
 
 from pulseframe.operators.metrics import regression_metrics
 from pulseframe.operators.split import key_split
@@ -91,21 +92,31 @@ def pressure_pipeline(
     )
 
 
-def sized_for_training(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Spread a training set over tasks by its keys.
+def sized_for_training(df: DataFrame) -> DataFrame:
+    """Spread a training set evenly over tasks.
 
     Forest training keeps one count per tree beside every row, so partitions
     cut by file size would be far too large in memory: no task gets more than
     about MOST_ROWS_PER_TASK. And one small file must not train on one core:
-    the cores are used as long as each gets LEAST_ROWS_PER_TASK. Counting a
-    staged table reads only the split's key columns.
+    the cores are used as long as each gets LEAST_ROWS_PER_TASK. Rows are dealt
+    out in turn and not by a hash of their values, under which copies of one
+    reading would meet in one task.
     """
     rows = df.count()
     cores = df.sparkSession.sparkContext.defaultParallelism
     tasks = max(
         math.ceil(rows / MOST_ROWS_PER_TASK), min(cores, math.ceil(rows / LEAST_ROWS_PER_TASK))
     )
-    return df.repartition(tasks, *keys) if tasks > 1 else df
+    return df.repartition(tasks) if tasks > 1 else df
+
+
+def fit(pipeline: Pipeline, train: DataFrame) -> PipelineModel:
+    """Fit on an evenly spread copy, kept in memory or on disk while the stages pass over it."""
+    spread = sized_for_training(train).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return pipeline.fit(spread)
+    finally:
+        spread.unpersist()
 
 
 def train_and_evaluate(
@@ -116,10 +127,10 @@ def train_and_evaluate(
 ) -> Evaluated:
     """Fit on the training part, score and measure the held-out part.
 
-    Training makes several passes: hand in a staged or persisted table.
+    The features are read several times: hand in a staged table.
     """
     train, test = key_split(features, keys, settings.train_ratio, settings.seed)
-    model = pressure_pipeline(settings, handle_invalid).fit(sized_for_training(train, keys))
+    model = fit(pressure_pipeline(settings, handle_invalid), train)
     predictions = model.transform(test)
     return Evaluated(model, predictions, regression_metrics(predictions, BATCH_LABEL))
 
@@ -147,11 +158,11 @@ def train_dual_target(
     """Systolic and diastolic forests over one split; metrics has one row per target.
 
     Readings carry no key of their own, so by default the split hashes the
-    whole reading.
+    whole reading and copies of a reading stay on one side.
     """
     columns = list(keys or [*SENSOR_FEATURES, *SENSOR_TARGETS])
     train, test = key_split(readings, columns, settings.train_ratio, settings.seed)
-    model = sensor_pipeline(settings).fit(sized_for_training(train, columns))
+    model = fit(sensor_pipeline(settings), train)
     predictions = model.transform(test)
     return Evaluated(model, predictions, dual_target_metrics(predictions))
 

@@ -11,9 +11,15 @@ from pyspark.sql import DataFrame
 from pulseframe.operators.codes import all_codes, code_lists
 from pulseframe.operators.extract import clinical_extract
 from pulseframe.operators.model import ForestSettings, feature_importances, train_and_evaluate
-from pulseframe.operators.quality import require_columns
+from pulseframe.operators.quality import require_columns, validate
 from pulseframe.operators.vitals import feature_table, preprocess_extract
-from pulseframe.schemas import ITEM_CODE_TEXT, OBSERVATION_KEY, REQUIRED_VITALS, ClinicalTables
+from pulseframe.schemas import (
+    CLINICAL_SCHEMAS,
+    ITEM_CODE_TEXT,
+    OBSERVATION_KEY,
+    REQUIRED_VITALS,
+    ClinicalTables,
+)
 from pulseframe.sinks.files import write_predictions
 from pulseframe.staging import stage
 
@@ -39,6 +45,8 @@ def run_batch(
 
     `limit` keeps only the first readings in chart order; by default all count.
     """
+    for name, schema in CLINICAL_SCHEMAS.items():
+        require_columns(getattr(tables, name), schema.names, name)
     if limit is None:
         features = feature_table(tables, text)
     else:
@@ -46,9 +54,7 @@ def run_batch(
         extract = stage(clinical_extract(tables, all_codes(groups), limit), "extract")
         features = preprocess_extract(extract, groups)
     features = stage(features, "features")
-    require_columns(features, [*OBSERVATION_KEY, *REQUIRED_VITALS, "gender", "age"], "features")
-    if features.isEmpty():
-        raise ValueError("no complete observation: check the item codes and the tables")
+    validate(features, [*OBSERVATION_KEY, *REQUIRED_VITALS, "gender", "age"], "features")
     result = train_and_evaluate(features, settings, handle_invalid)
     if output is not None:
         write_predictions(result.predictions, output)

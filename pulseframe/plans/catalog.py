@@ -20,6 +20,7 @@ from pulseframe.plans import analogs, monitoring
 from pulseframe.schemas import (
     BATCH_FEATURES,
     BATCH_LABEL,
+    CLINICAL_SCHEMAS,
     ITEM_CODE_TEXT,
     OBSERVATION_KEY,
     SENSOR_FEATURES,
@@ -54,6 +55,12 @@ def _plain(df: DataFrame) -> DataFrame:
     return df.select(shown)
 
 
+def _dated(df: DataFrame) -> DataFrame:
+    """Timestamps as dates; values as they were read."""
+    times = [f.name for f in df.schema.fields if f.dataType.typeName() == "timestamp"]
+    return df.withColumns({name: F.col(name).cast("date") for name in times})
+
+
 # Relational extract.
 
 
@@ -68,15 +75,15 @@ def item_groups(spark, base):
 
 
 def chart_extract(spark, base):
-    return _plain(extract.join_clinical_tables(analogs.order_history(spark, base)))
+    return _dated(extract.join_clinical_tables(analogs.order_history(spark, base)))
 
 
 def extract_filtered(spark, base):
-    return _plain(extract.clinical_extract(analogs.order_history(spark, base), CODES))
+    return _dated(extract.clinical_extract(analogs.order_history(spark, base), CODES))
 
 
 def extract_topn(spark, base):
-    return _plain(extract.clinical_extract(analogs.order_history(spark, base), CODES, limit=1000))
+    return _dated(extract.clinical_extract(analogs.order_history(spark, base), CODES, limit=1000))
 
 
 # Vitals.
@@ -84,7 +91,7 @@ def extract_topn(spark, base):
 
 def classify_measurement(spark, base):
     readings = analogs.order_history(spark, base).chartevents
-    return _plain(
+    return _dated(
         vitals.classify(readings, GROUPS).select(
             "hadm_id", "charttime", "itemid", "valuenum", "measurement"
         )
@@ -182,9 +189,9 @@ def quality_report(spark, base):
     """Summaries of the four clinical tables, checked for their columns."""
     tables = analogs.order_history(spark, base)
     parts = []
-    for name in ("patients", "admissions", "chartevents", "d_items"):
+    for name, schema in CLINICAL_SCHEMAS.items():
         table = getattr(tables, name)
-        quality.require_columns(table, table.columns[:2], name)
+        quality.require_columns(table, schema.names, name)
         parts.append(quality.summary(table, name))
     return parts[0].union(parts[1]).union(parts[2]).union(parts[3])
 

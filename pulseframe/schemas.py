@@ -51,6 +51,13 @@ D_ITEMS = _schema(
     ("unitname", StringType),
 )
 
+CLINICAL_SCHEMAS = {
+    "patients": PATIENTS,
+    "admissions": ADMISSIONS,
+    "chartevents": CHARTEVENTS,
+    "d_items": D_ITEMS,
+}
+
 # The JSON keys of one sensor message, in wire order.
 SENSOR_MESSAGE = _schema(
     ("PTT", FloatType),

@@ -6,13 +6,15 @@ would deliver it through a single connection and task.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulseframe.schemas import ADMISSIONS, CHARTEVENTS, D_ITEMS, PATIENTS, ClinicalTables
+from pulseframe.schemas import CLINICAL_SCHEMAS, ClinicalTables
+
+WHOLE = ("1 = 1",)
 
 
 @dataclass(frozen=True)
@@ -52,7 +54,7 @@ def range_slices(column: str, lower: int, upper: int, slices: int) -> list[str]:
     holds a large share of the rows stays in one slice; see modulus_slices.
     """
     if slices < 2 or upper <= lower:
-        return ["1 = 1"]
+        return list(WHOLE)
     slices = min(slices, upper - lower)
     cuts = [lower + (upper - lower) * i // slices for i in range(1, slices)]
     inner = [f"{column} >= {a} AND {column} < {b}" for a, b in zip(cuts, cuts[1:])]
@@ -79,7 +81,7 @@ def read_jdbc(
     spark: SparkSession,
     connection: JdbcConnection,
     table: str,
-    slices: Sequence[str] = ("1 = 1",),
+    slices: Sequence[str] = WHOLE,
 ) -> DataFrame:
     """One connection and task per slice. Filters and column lists that later
     steps need are pushed into each slice's query by Catalyst."""
@@ -91,17 +93,14 @@ def read_jdbc(
 def read_clinical_jdbc(
     spark: SparkSession,
     connection: JdbcConnection,
-    chart_slices: Sequence[str],
-    admission_slices: Sequence[str] = ("1 = 1",),
-    patient_slices: Sequence[str] = ("1 = 1",),
+    slices: Mapping[str, Sequence[str]] | None = None,
 ) -> ClinicalTables:
-    def read(table, schema, slices):
-        df = read_jdbc(spark, connection, table, slices)
-        return df.select([F.col(f.name).cast(f.dataType) for f in schema.fields])
-
-    return ClinicalTables(
-        read("patients", PATIENTS, patient_slices),
-        read("admissions", ADMISSIONS, admission_slices),
-        read("chartevents", CHARTEVENTS, chart_slices),
-        read("d_items", D_ITEMS, ("1 = 1",)),
-    )
+    """The four clinical tables; `slices` holds WHERE clauses for those read in parallel.
+
+    Spark cannot know a database table's size: see staging.land.
+    """
+    slices, tables = slices or {}, {}
+    for name, schema in CLINICAL_SCHEMAS.items():
+        raw = read_jdbc(spark, connection, name, slices.get(name, WHOLE))
+        tables[name] = raw.select([F.col(f.name).cast(f.dataType) for f in schema.fields])
+    return ClinicalTables(**tables)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pulseframe.schemas import ADMISSIONS, CHARTEVENTS, D_ITEMS, PATIENTS, ClinicalTables
+from pulseframe.schemas import CLINICAL_SCHEMAS, ClinicalTables
 
 
 def read_table(spark: SparkSession, base: str, name: str) -> DataFrame:
@@ -24,12 +24,9 @@ def stream_table(spark: SparkSession, base: str, name: str) -> DataFrame:
 def read_clinical_tables(spark: SparkSession, base: str) -> ClinicalTables:
     """The four clinical tables from Parquet folders, with declared schemas."""
 
-    def read(name, schema):
-        return spark.read.schema(schema).parquet(f"{base}/{name}")
-
     return ClinicalTables(
-        read("patients", PATIENTS),
-        read("admissions", ADMISSIONS),
-        read("chartevents", CHARTEVENTS),
-        read("d_items", D_ITEMS),
+        **{
+            name: spark.read.schema(schema).parquet(f"{base}/{name}")
+            for name, schema in CLINICAL_SCHEMAS.items()
+        }
     )

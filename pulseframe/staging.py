@@ -7,6 +7,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from pulseframe.schemas import ClinicalTables
+
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
 
@@ -35,3 +37,18 @@ def stage(df: DataFrame, purpose: str) -> DataFrame:
     path = work_dir(df.sparkSession, purpose)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def land(tables: ClinicalTables) -> ClinicalTables:
+    """Stage all four tables.
+
+    For sources that are costly to read or of unknown size, such as a database:
+    it is read once, and the joins then know which tables are small. Narrow the
+    readings first; the filters travel to the source.
+    """
+    return ClinicalTables(
+        stage(tables.patients, "patients"),
+        stage(tables.admissions, "admissions"),
+        stage(tables.chartevents, "chartevents"),
+        stage(tables.d_items, "d-items"),
+    )

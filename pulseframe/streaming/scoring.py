@@ -5,11 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
-from pulseframe.operators.model import ForestSettings, score_sensors, sensor_pipeline
+from pulseframe.operators.model import ForestSettings, fit, score_sensors, sensor_pipeline
 from pulseframe.operators.quality import split_complete
 from pulseframe.schemas import SENSOR_FEATURES, SENSOR_TARGETS
 from pulseframe.sinks.files import write_batch
@@ -31,6 +31,23 @@ def counting_handler(out: str, by: Sequence[str] = ()) -> BatchHandler:
     return handle
 
 
+def report_handler(
+    report: Callable[[int, int, list[Row]], None], sample: int = 5
+) -> BatchHandler:
+    """Calls `report(batch_id, n_records, sample_rows)` for each non-empty batch."""
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            shown = batch.take(sample)
+            if shown:
+                report(batch_id, batch.count(), shown)
+        finally:
+            batch.unpersist()
+
+    return handle
+
+
 def scoring_handler(
     out: str,
     rejected: str,
@@ -55,7 +72,7 @@ def scoring_handler(
         if model is None and train_with is not None:
             labelled, _ = split_complete(usable, SENSOR_TARGETS)
             if not labelled.isEmpty():
-                model = sensor_pipeline(train_with).fit(labelled)
+                model = fit(sensor_pipeline(train_with), labelled)
                 models.publish(spark, model)
         if model is not None:
             loaded.append(model)

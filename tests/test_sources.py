@@ -7,6 +7,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from pulseframe import staging
+from pulseframe.operators.joins import fits_broadcast
 from pulseframe.operators.vitals import feature_table
 from pulseframe.schemas import CHARTEVENTS
 from pulseframe.sinks.files import preview, read_batches, write_batch, write_csv
@@ -58,7 +59,7 @@ def test_jdbc_reads_one_table_each_in_slices(spark):
     reader = _Reader(by_name)
     connection = JdbcConnection("h", "d", "u", "p")
     slices = range_slices("hadm_id", 100, 300, 4)
-    tables = read_clinical_jdbc(reader, connection, slices)
+    tables = read_clinical_jdbc(reader, connection, {"chartevents": slices})
     assert [c[:3] for c in reader.calls] == [
         (connection.url, "patients", ["1 = 1"]),
         (connection.url, "admissions", ["1 = 1"]),
@@ -118,6 +119,14 @@ def test_clinical_tables_from_files(spark, tmp_path):
     assert rows(feature_table(tables)) == rows(feature_table(golden))
 
 
+def test_landed_tables_have_known_sizes(spark):
+    golden = golden_tables(spark)
+    assert not fits_broadcast([golden.d_items])
+    landed = staging.land(golden)
+    assert fits_broadcast([landed.d_items, landed.admissions, landed.patients])
+    assert rows(feature_table(landed)) == rows(feature_table(golden))
+
+
 def test_stream_of_a_file_or_folder(spark, small, tmp_path):
     table = spark.read.parquet(f"{small}/events.parquet")
     table.repartition(3).write.parquet(str(tmp_path / "events.parquet"))

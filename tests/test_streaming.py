@@ -13,7 +13,7 @@ from pulseframe.sources.messages import kafka_options, read_messages
 from pulseframe.streaming.models import ModelStore
 from pulseframe.streaming.parse import parse_messages
 from pulseframe.streaming.runs import drain, named_writer, records_per_batch, start
-from pulseframe.streaming.scoring import counting_handler, scoring_handler
+from pulseframe.streaming.scoring import counting_handler, report_handler, scoring_handler
 
 FEW = model.ForestSettings(num_trees=3, max_depth=2)
 
@@ -181,6 +181,18 @@ def test_inline_scoring_on_a_stream(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "rejected")).count() == 2
 
 
+def test_batch_reports(spark, tmp_path):
+    folder, seen = str(tmp_path / "in"), []
+    _write(spark, folder, [_json(n) for n in range(9)])
+    handler = report_handler(lambda *report: seen.append(report), sample=4)
+    writer = named_writer(_stream(spark, folder), "reports", str(tmp_path / "cp"))
+    drain(writer.foreachBatch(handler))
+    [(batch_id, n_records, sample)] = seen
+    assert (batch_id, n_records, len(sample)) == (0, 9, 4)
+    handler(spark.read.parquet(folder).where("event_id < 0"), 1)
+    assert len(seen) == 1
+
+
 def test_failures_reach_the_caller(spark, tmp_path):
     folder = str(tmp_path / "in")
     _write(spark, folder, [_json(1)])
