@@ -57,7 +57,7 @@ def repeated_keys(df: DataFrame, key: str) -> DataFrame:
 
 
 def has_all(required: Sequence[str]) -> Column:
-    """Whether no required field is NULL or NaN."""
+    """Whether none of the required numeric fields is NULL or NaN."""
     return reduce(lambda a, b: a & b, [~is_missing(F.col(c)) for c in required])
 
 

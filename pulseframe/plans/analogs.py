@@ -8,6 +8,8 @@ are derived from the rows, since the test tables have none.
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,6 +19,7 @@ from pulseframe.sources.tables import read_table
 
 UNLISTED_CODE = 999  # in the dictionary, in no group
 UNKNOWN_CODE = 442  # not even in the dictionary
+HOT_ADMISSION = 5
 EVENT_CODES = {"click": 51, "view": 8368, "signup": 52, "purchase": 211, "error": UNLISTED_CODE}
 
 
@@ -49,17 +52,7 @@ def dictionary(spark: SparkSession, base: str) -> DataFrame:
     )
 
 
-def order_history(spark: SparkSession, base: str) -> ClinicalTables:
-    """Line numbers 1-2 systolic, 3-4 diastolic, 5 MAP, 6 heart rate, 7 other; by year."""
-    orders = read_table(spark, base, "orders")
-    admissions = orders.select(
-        F.col("o_custkey").alias("subject_id"),
-        F.col("o_orderkey").alias("hadm_id"),
-        F.col("o_orderdate").cast("timestamp").alias("admittime"),
-        F.date_add("o_orderdate", (F.col("o_orderkey") % 20).cast("int"))
-        .cast("timestamp")
-        .alias("dischtime"),
-    )
+def _line_readings(lines: DataFrame) -> DataFrame:
     line, part = F.col("l_linenumber"), F.col("l_partkey")
     groups = code_lists()
     itemid = (
@@ -69,7 +62,7 @@ def order_history(spark: SparkSession, base: str) -> ClinicalTables:
         .when(line == 6, _pick(groups["Heart Rate"], part))
         .otherwise(_pick([UNLISTED_CODE, UNKNOWN_CODE], part))
     )
-    chartevents = read_table(spark, base, "lineitem").select(
+    return lines.select(
         F.col("l_orderkey").alias("hadm_id"),
         itemid.alias("itemid"),
         F.date_trunc("year", "l_shipdate").alias("charttime"),
@@ -78,11 +71,34 @@ def order_history(spark: SparkSession, base: str) -> ClinicalTables:
         F.when(line == 6, "bpm").otherwise("mmHg").alias("valueuom"),
         F.when(F.col("l_discount") > 0.095, "1").alias("error"),
     )
+
+
+def order_history(spark: SparkSession, base: str) -> ClinicalTables:
+    """Line numbers 1-2 systolic, 3-4 diastolic, 5 MAP, 6 heart rate, 7 other; by year."""
+    orders = read_table(spark, base, "orders")
+    admissions = orders.select(
+        F.col("o_custkey").alias("subject_id"),
+        F.col("o_orderkey").alias("hadm_id"),
+        F.col("o_orderdate").cast("timestamp").alias("admittime"),
+        F.date_add("o_orderdate", (F.col("o_orderkey") % 20).cast("int"))
+        .cast("timestamp")
+        .alias("dischtime"),
+    )
+    chartevents = _line_readings(read_table(spark, base, "lineitem"))
     return ClinicalTables(
         patients(spark, base), admissions, chartevents, dictionary(spark, base)
     )
 
 
+def skewed_order_history(spark: SparkSession, base: str) -> ClinicalTables:
+    """Order history in which one admission holds a third of all readings."""
+    tables = order_history(spark, base)
+    lines = read_table(spark, base, "lineitem")
+    moved = (F.col("l_partkey") + F.col("l_suppkey")) % 3 == 0
+    key = F.when(moved, HOT_ADMISSION).otherwise(F.col("l_orderkey"))
+    return replace(tables, chartevents=_line_readings(lines.withColumn("l_orderkey", key)))
+
+
 def event_log(spark: SparkSession, base: str) -> ClinicalTables:
     """Events of a user in a week form one observation."""
     people = patients(spark, base)

@@ -168,6 +168,18 @@ def weekly_features(spark, base):
     return _plain(vitals.feature_table(analogs.event_log(spark, base)))
 
 
+def skewed_extract(spark, base):
+    """A third of the readings in one admission, joined without broadcasting a table."""
+    tables = analogs.skewed_order_history(spark, base)
+    return _dated(extract.clinical_extract(tables, CODES, broadcast_bytes=0))
+
+
+def skewed_features(spark, base):
+    """The feature table of the same readings, in the form for large tables."""
+    tables = analogs.skewed_order_history(spark, base)
+    return _plain(vitals.feature_table(tables, broadcast_bytes=0))
+
+
 def persisted_features(spark, base):
     features = vitals.feature_table(analogs.order_history(spark, base))
     return _plain(features.persist(StorageLevel.MEMORY_AND_DISK))
@@ -216,6 +228,14 @@ def hash_split_counts(spark, base):
     return features.groupBy(part.alias("part")).agg(F.count(F.lit(1)).alias("n_rows"))
 
 
+def random_split_cover(spark, base):
+    """Rows of both random parts together, and how many observations those are."""
+    train, test = split.random_split(stage(_weekly(spark, base), "features"))
+    return train.union(test).agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_distinct(*OBSERVATION_KEY).alias("n_observations")
+    )
+
+
 def mean_baseline_metrics(spark, base):
     train, test = split.key_split(stage(_weekly(spark, base), "features"), OBSERVATION_KEY)
     scored = metrics.score_with_mean(train, test, BATCH_LABEL)
@@ -389,6 +409,11 @@ def jdbc_slices(spark, base):
 # Streams.
 
 
+def _query_name(root: str) -> str:
+    """Each call has a folder of its own, so its query may have a name of its own."""
+    return root.rsplit("/", 1)[-1]
+
+
 def _message_stream(spark, base):
     return analogs.sensor_messages(stream_table(spark, base, "events"))
 
@@ -397,29 +422,39 @@ def stream_parse(spark, base):
     root = work_dir(spark, "stream-parse")
     parsed = parse_messages(_message_stream(spark, base), ["event_id"])
     drain(
-        named_writer(parsed, "stream_parse", f"{root}/checkpoints")
+        named_writer(parsed, _query_name(root), f"{root}/checkpoints")
         .format("parquet")
         .option("path", f"{root}/readings")
     )
     return _plain(spark.read.schema(parsed.schema).parquet(f"{root}/readings"))
 
 
-def stream_batch_counts(spark, base):
+def _counted_stream(spark, base, runs):
     """Records per event type, counted micro-batch by micro-batch."""
     root = work_dir(spark, "stream-counts")
-    events = stream_table(spark, base, "events").select("event_type")
     handler = counting_handler(f"{root}/counts", by=["event_type"])
-    drain(named_writer(events, "stream_counts", f"{root}/checkpoints").foreachBatch(handler))
+    for _ in range(runs):
+        events = stream_table(spark, base, "events").select("event_type")
+        drain(named_writer(events, _query_name(root), f"{root}/checkpoints").foreachBatch(handler))
     counts = read_batches(spark, f"{root}/counts", "event_type string, n_records long")
     return counts.groupBy("event_type").agg(F.sum("n_records").alias("n_records"))
 
 
+def stream_batch_counts(spark, base):
+    return _counted_stream(spark, base, runs=1)
+
+
+def stream_resumed(spark, base):
+    """The same after a restart from the checkpoint: no record lost or counted again."""
+    return _counted_stream(spark, base, runs=2)
+
+
 def _monitored(spark, base):
     root = work_dir(spark, "stream-scored")
     drain(
         monitoring.monitor(
             _message_stream(spark, base),
-            "stream_scored",
+            _query_name(root),
             root,
             ModelStore(f"{root}/model"),
             keep=["event_id"],
@@ -466,7 +501,7 @@ def stream_scored_inline(spark, base):
     root = work_dir(spark, "stream-inline")
     scored, _ = monitoring.scored_stream(_message_stream(spark, base), trained, ["event_id"])
     drain(
-        named_writer(scored, "stream_scored_inline", f"{root}/checkpoints")
+        named_writer(scored, _query_name(root), f"{root}/checkpoints")
         .format("parquet")
         .option("path", f"{root}/scored")
     )
@@ -491,12 +526,15 @@ QUERIES = {
         feature_table,
         features_from_extract,
         weekly_features,
+        skewed_extract,
+        skewed_features,
         persisted_features,
         feature_sample,
         step_counts,
         quality_report,
         repeated_admissions,
         hash_split_counts,
+        random_split_cover,
         mean_baseline_metrics,
         category_index,
         assembled_features,
@@ -516,6 +554,7 @@ QUERIES = {
         jdbc_slices,
         stream_parse,
         stream_batch_counts,
+        stream_resumed,
         stream_scored,
         stream_rejected,
         stream_coverage,

@@ -55,6 +55,11 @@ chartevents AS (
          CASE WHEN l_discount > 0.095 THEN '1' END AS error
   FROM lineitem)"""
 
+_SKEWED_HISTORY = _ORDER_HISTORY.replace(
+    "SELECT l_orderkey AS hadm_id",
+    "SELECT CASE WHEN (l_partkey + l_suppkey) % 3 = 0 THEN 5 ELSE l_orderkey END AS hadm_id",
+)
+
 _EVENT_LOG = f"""{_PATIENTS}, {_D_ITEMS},
 admissions AS (
   SELECT subject_id, subject_id AS hadm_id,
@@ -189,6 +194,8 @@ FROM wide JOIN demo USING (hadm_id)""",
 SELECT hadm_id, charttime, {_ROUNDED} FROM wide WHERE {_COMPLETE}""",
     "feature_table": _HISTORY_FEATURES,
     "features_from_extract": _HISTORY_FEATURES,
+    "skewed_extract": f"WITH {_SKEWED_HISTORY} SELECT {_DATED} FROM {_JOINED} WHERE {_VALID}",
+    "skewed_features": f"{_features(_SKEWED_HISTORY)} {_FEATURE_ROWS}",
     "persisted_features": _HISTORY_FEATURES,
     "weekly_features": _WEEKLY_FEATURES,
     "feature_sample": f"{_WEEKLY_FEATURES} ORDER BY hadm_id, charttime LIMIT 10",
@@ -206,6 +213,8 @@ FROM orders GROUP BY o_custkey HAVING count(*) > 1""",
     "hash_split_counts": f"""{_SPLIT}
 SELECT CASE WHEN training THEN 'train' ELSE 'test' END AS part, count(*) AS n_rows
 FROM parts GROUP BY 1""",
+    "random_split_cover": f"""{_features(_EVENT_LOG)}
+SELECT count(*) AS n_rows, count(DISTINCT (hadm_id, charttime)) AS n_observations FROM features""",
     "mean_baseline_metrics": f"""{_BASELINE}
 SELECT count(*) AS n_rows, round(avg(abs(y - p)), 6) AS mae,
        round(sqrt(avg((y - p) * (y - p))), 6) AS rmse,
@@ -248,6 +257,8 @@ FROM readings WHERE SBP IS NOT NULL AND {_bucket(["event_id"])} >= 8000""",
         for method in ("range", "modulus")
     ),
     "stream_batch_counts": """SELECT event_type, count(*) AS n_records
+FROM events GROUP BY event_type""",
+    "stream_resumed": """SELECT event_type, count(*) AS n_records
 FROM events GROUP BY event_type""",
     "stream_coverage": """SELECT CASE WHEN event_type = 'error' THEN 'rejected' ELSE 'scored' END AS outcome,
        count(*) AS n_rows, count(DISTINCT event_id) AS n_messages
