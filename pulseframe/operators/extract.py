@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pulseframe.operators.joins import BROADCAST_BYTES, join_by_key
+from pulseframe.operators.joins import BROADCAST_BYTES, ROW, join_by_key, numbered
 from pulseframe.schemas import ClinicalTables
 
 EXTRACT_COLUMNS = [
@@ -17,6 +17,9 @@ EXTRACT_COLUMNS = [
     "label", "unitname",
 ]
 
+# What preprocess_extract needs of them.
+FEATURE_COLUMNS = ["hadm_id", "charttime", "itemid", "valuenum", "gender", "dob", "admittime"]
+
 
 def valid_readings(chartevents: DataFrame, codes: Sequence[int]) -> DataFrame:
     """Listed codes with a number and no error flag; all three reach the scan."""
@@ -30,12 +33,13 @@ def valid_readings(chartevents: DataFrame, codes: Sequence[int]) -> DataFrame:
 def stays(tables: ClinicalTables, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """Admissions with their patient; a patient may own any share of the admissions."""
     return join_by_key(
-        tables.admissions,
+        numbered(tables.admissions),
         tables.patients,
         "subject_id",
-        spread_by=["hadm_id"],
+        spread_by=[ROW],
+        hot_from=tables.admissions,
         broadcast_bytes=broadcast_bytes,
-    )
+    ).drop(ROW)
 
 
 def join_clinical_tables(
@@ -47,17 +51,18 @@ def join_clinical_tables(
     the network once at most.
     """
     labelled = join_by_key(
-        tables.chartevents,
+        numbered(tables.chartevents),
         tables.d_items,
         "itemid",
-        spread_by=["hadm_id", "charttime"],
+        spread_by=[ROW],
+        hot_from=tables.chartevents,
         broadcast_bytes=broadcast_bytes,
     )
     return join_by_key(
         labelled,
         stays(tables, broadcast_bytes),
         "hadm_id",
-        spread_by=["charttime", "itemid", "valuenum"],
+        spread_by=[ROW],
         sized_by=[tables.admissions, tables.patients],
         hot_from=tables.chartevents,
         broadcast_bytes=broadcast_bytes,

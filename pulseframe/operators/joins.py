@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 BROADCAST_BYTES = 32 << 20
 SMALLEST_HOT_SHARE = 1e-4
 SKETCH_GROUPS = 256
+ROW = "_row"
 
 
 def estimated_bytes(df: DataFrame) -> int:
@@ -33,6 +34,16 @@ def fits_broadcast(frames: Sequence[DataFrame], limit: int = BROADCAST_BYTES) ->
     return sum(estimated_bytes(frame) for frame in frames) <= limit
 
 
+def numbered(table: DataFrame) -> DataFrame:
+    """Adds a row number for `spread_by`, so that even exact copies are spread.
+
+    For tables read from files: a retried task gives the same rows the same
+    numbers. A shuffle or a database may deliver them in another order. Where
+    no join ends up salted, the optimizer drops the column.
+    """
+    return table.withColumn(ROW, F.monotonically_increasing_id())
+
+
 def frequent_keys(df: DataFrame, key: str) -> dict:
     """Keys that alone would overfill a shuffle partition -> share of the rows.
 
@@ -83,8 +94,9 @@ def join_by_key(
     `sized_by`: base tables whose size bounds `dims`, when `dims` is itself a
     join and Catalyst would multiply the sizes. `hot_from`: a cheaper frame with
     the same key distribution as `facts`, for finding hot keys. `spread_by`:
-    fact columns that differ within a hot key; hashing them (instead of drawing
-    at random) keeps a retried task's rows where they were.
+    fact columns that differ within a hot key, or the number from `numbered`;
+    hashing them (instead of drawing at random) keeps a retried task's rows
+    where they were.
     """
     if fits_broadcast(sized_by or [dims], broadcast_bytes):
         return facts.join(F.broadcast(dims), key)

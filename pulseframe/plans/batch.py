@@ -9,7 +9,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 
 from pulseframe.operators.codes import all_codes, code_lists
-from pulseframe.operators.extract import clinical_extract
+from pulseframe.operators.extract import FEATURE_COLUMNS, clinical_extract
 from pulseframe.operators.model import ForestSettings, feature_importances, train_and_evaluate
 from pulseframe.operators.quality import require_columns, validate
 from pulseframe.operators.vitals import feature_table, preprocess_extract
@@ -51,8 +51,8 @@ def run_batch(
         features = feature_table(tables, text)
     else:
         groups = code_lists(text)
-        extract = stage(clinical_extract(tables, all_codes(groups), limit), "extract")
-        features = preprocess_extract(extract, groups)
+        extract = clinical_extract(tables, all_codes(groups), limit).select(FEATURE_COLUMNS)
+        features = preprocess_extract(stage(extract, "extract"), groups)
     features = stage(features, "features")
     validate(features, [*OBSERVATION_KEY, *REQUIRED_VITALS, "gender", "age"], "features")
     result = train_and_evaluate(features, settings, handle_invalid)

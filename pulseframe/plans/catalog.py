@@ -161,7 +161,8 @@ def feature_table(spark, base):
 def features_from_extract(spark, base):
     """The same table from the joined extract, written once and read twice."""
     rows = extract.clinical_extract(analogs.order_history(spark, base), CODES)
-    return _plain(vitals.preprocess_extract(stage(rows, "extract"), GROUPS))
+    staged = stage(rows.select(extract.FEATURE_COLUMNS), "extract")
+    return _plain(vitals.preprocess_extract(staged, GROUPS))
 
 
 def weekly_features(spark, base):

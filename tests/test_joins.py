@@ -11,7 +11,7 @@ from pulseframe.plans.analogs import order_history
 
 @pytest.fixture(scope="module")
 def skewed(spark):
-    """12,000 facts; a third belong to key 7."""
+    """12,000 facts; a third and a few more belong to key 7."""
     return spark.range(12_000).select(
         F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 1000).alias("key"),
         F.col("id").alias("n"),
@@ -54,20 +54,36 @@ def test_repeated_dimension_rows_and_null_keys(spark, skewed):
     assert rows(salted, "n", "name") == rows(facts.join(twice, "key"), "n", "name")
 
 
-def test_hot_rows_reach_many_partitions(spark, skewed, dims):
+@pytest.fixture
+def shuffled_joins(spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
-    try:
-        salted = joins.join_by_key(skewed, dims, "key", spread_by=["n"], broadcast_bytes=0)
-        where = salted.where("key = 7").select(F.spark_partition_id().alias("p"))
-        sizes = [r["count"] for r in where.groupBy("p").count().collect()]
-        plain = skewed.join(dims, "key").where("key = 7").select(F.spark_partition_id().alias("p"))
-        assert plain.distinct().count() == 1
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-        spark.conf.set("spark.sql.adaptive.enabled", "true")
-    assert len(sizes) >= 3
-    assert max(sizes) < 4_000 * 0.75
+    yield
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def _hot_sizes(joined):
+    where = joined.where("key = 7").select(F.spark_partition_id().alias("p"))
+    return [r["count"] for r in where.groupBy("p").count().collect()]
+
+
+def test_hot_rows_reach_many_partitions(skewed, dims, shuffled_joins):
+    assert len(_hot_sizes(skewed.join(dims, "key"))) == 1
+    salted = joins.join_by_key(skewed, dims, "key", spread_by=["n"], broadcast_bytes=0)
+    sizes = _hot_sizes(salted)
+    assert len(sizes) >= 3 and max(sizes) < 4_000 * 0.75
+
+
+def test_exact_copies_are_spread_too(skewed, dims, shuffled_joins):
+    copies = skewed.select("key", F.lit(1).alias("n"))
+    numbered = joins.numbered(copies)
+    salted = joins.join_by_key(
+        numbered, dims, "key", spread_by=[joins.ROW], hot_from=copies, broadcast_bytes=0
+    )
+    sizes = _hot_sizes(salted)
+    assert sum(sizes) == copies.where("key = 7").count()
+    assert len(sizes) >= 3 and max(sizes) < 4_000 * 0.75
 
 
 def test_feature_table_with_a_hot_admission(spark, small):

@@ -56,6 +56,13 @@ def test_readings_are_shuffled_once_in_the_feature_table(tables):
     assert "SortMergeJoin" not in plan
 
 
+def test_row_numbers_cost_nothing_without_salting(tables):
+    extract = clinical_extract(tables, all_codes(code_lists()))
+    plan = plan_of(extract.where("charttime > '2005-01-01'"))
+    assert "monotonically_increasing_id" not in plan
+    assert "GreaterThan(charttime" in plan
+
+
 def test_top_n_is_not_a_global_sort(tables):
     plan = plan_of(clinical_extract(tables, all_codes(code_lists()), limit=5))
     assert "TakeOrderedAndProject" in plan and "rangepartitioning" not in plan
