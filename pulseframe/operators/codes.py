@@ -25,7 +25,9 @@ def code_dimension(spark: SparkSession, text: Mapping[str, str] = ITEM_CODE_TEXT
     Its size is that of the settings text, never of the data, so it is safe to
     broadcast.
     """
-    groups = F.array(*[F.struct(F.lit(n).alias("name"), F.lit(c).alias("codes")) for n, c in text.items()])
+    groups = F.array(
+        *[F.struct(F.lit(n).alias("name"), F.lit(c).alias("codes")) for n, c in text.items()]
+    )
     return (
         spark.range(0, 1, 1, 1)
         .select(F.posexplode(groups).alias("place", "spec"))

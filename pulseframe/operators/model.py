@@ -11,7 +11,6 @@ from pyspark.ml.feature import StringIndexer, VectorAssembler
 from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.storagelevel import StorageLevel
 
 from pulseframe.operators.metrics import regression_metrics
 from pulseframe.operators.split import key_split
@@ -22,6 +21,7 @@ from pulseframe.schemas import (
     SENSOR_FEATURES,
     SENSOR_TARGETS,
 )
+from pulseframe.staging import persisted
 
 MOST_ROWS_PER_TASK = 500_000
 LEAST_ROWS_PER_TASK = 2_000
@@ -112,11 +112,8 @@ def sized_for_training(df: DataFrame) -> DataFrame:
 
 def fit(pipeline: Pipeline, train: DataFrame) -> PipelineModel:
     """Fit on an evenly spread copy, kept in memory or on disk while the stages pass over it."""
-    spread = sized_for_training(train).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
+    with persisted(sized_for_training(train)) as spread:
         return pipeline.fit(spread)
-    finally:
-        spread.unpersist()
 
 
 def train_and_evaluate(

@@ -140,18 +140,26 @@ _JOINED = """patients JOIN admissions USING (subject_id)
 _READINGS = """readings AS (
   SELECT event_id,
          CASE WHEN good THEN CAST(value AS FLOAT) END AS PTT,
-         CASE WHEN good THEN CAST(CAST(json_extract_string(props, '$.k') AS INTEGER) / 8.0 AS FLOAT) END AS PIR,
+         CASE WHEN good
+              THEN CAST(CAST(json_extract_string(props, '$.k') AS INTEGER) / 8.0 AS FLOAT) END AS PIR,
          CASE WHEN good THEN CAST(user_id % 64 + 50 AS FLOAT) END AS HR,
          CASE WHEN good AND event_id % 10 <> 0 THEN CAST(event_id % 60 + 90 AS FLOAT) END AS SBP,
          CASE WHEN good AND event_id % 10 <> 0 THEN CAST(event_id % 40 + 60 AS FLOAT) END AS DBP
   FROM (SELECT *, event_type <> 'error' AS good FROM events))"""
 
+
+
+def _as_doubles(names):
+    return ", ".join(f"round(CAST({name} AS DOUBLE), 6) AS {name}" for name in names)
+
+
 _READING_ROWS = f"""WITH {_READINGS}
-SELECT event_id, {", ".join(f"round(CAST({c} AS DOUBLE), 6) AS {c}" for c in ("PTT", "PIR", "HR", "SBP", "DBP"))}
-FROM readings"""
+SELECT event_id, {_as_doubles(["PTT", "PIR", "HR", "SBP", "DBP"])} FROM readings"""
 
 _REJECTED = "SELECT event_id, 'PTT,PIR,HR' AS missing FROM events WHERE event_type = 'error'"
 
+_SPEC = ", ".join(f"('{name}', '{codes}')" for name, codes in ITEM_CODE_TEXT.items())
+
 _SUMMARIES = {
     "patients": ("customer", "subject_id, gender, dob, dod"),
     "admissions": ("orders", "subject_id, hadm_id, admittime, dischtime"),
@@ -161,7 +169,7 @@ _SUMMARIES = {
 
 ORACLE_SQL = {
     "item_groups": f"""WITH {_ORDER_HISTORY},
-spec(measurement, codes) AS (VALUES {", ".join(f"('{n}', '{c}')" for n, c in ITEM_CODE_TEXT.items())}),
+spec(measurement, codes) AS (VALUES {_SPEC}),
 groups AS (
   SELECT measurement, CAST(trim(code) AS INTEGER) AS itemid
   FROM (SELECT measurement, unnest(string_split(codes, ',')) AS code FROM spec))
@@ -245,8 +253,7 @@ FROM parts WHERE NOT training AND age IS NOT NULL""",
     "rejected_messages": _REJECTED,
     "stream_rejected": _REJECTED,
     "sensor_features": f"""WITH {_READINGS}
-SELECT event_id, {", ".join(f"round(CAST({c} AS DOUBLE), 6) AS {c}" for c in ("PTT", "PIR", "HR"))}
-FROM readings WHERE PTT IS NOT NULL""",
+SELECT event_id, {_as_doubles(["PTT", "PIR", "HR"])} FROM readings WHERE PTT IS NOT NULL""",
     "dual_target_coverage": f"""WITH {_READINGS}
 SELECT count(*) AS n_scored, count(DISTINCT event_id) AS n_readings, count(*) AS n_with_both
 FROM readings WHERE SBP IS NOT NULL AND {_bucket(["event_id"])} >= 8000""",

@@ -4,8 +4,11 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.storagelevel import StorageLevel
 
 from pulseframe.schemas import ClinicalTables
 
@@ -39,6 +42,22 @@ def stage(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def persisted(df: DataFrame) -> Iterator[DataFrame]:
+    """`df` kept in the executors' memory or on their disks until the block ends.
+
+    One that the caller persisted already stays as it is.
+    """
+    if df.storageLevel.useMemory or df.storageLevel.useDisk:
+        yield df
+        return
+    df = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        yield df
+    finally:
+        df.unpersist()
+
+
 def land(tables: ClinicalTables) -> ClinicalTables:
     """Stage all four tables.
 

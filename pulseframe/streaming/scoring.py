@@ -7,12 +7,12 @@ from collections.abc import Callable, Sequence
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
-from pyspark.storagelevel import StorageLevel
 
 from pulseframe.operators.model import ForestSettings, fit, score_sensors, sensor_pipeline
 from pulseframe.operators.quality import split_complete
 from pulseframe.schemas import SENSOR_FEATURES, SENSOR_TARGETS
 from pulseframe.sinks.files import write_batch
+from pulseframe.staging import persisted
 from pulseframe.streaming.models import ModelStore
 
 BatchHandler = Callable[[DataFrame, int], None]
@@ -37,13 +37,10 @@ def report_handler(
     """Calls `report(batch_id, n_records, sample_rows)` for each non-empty batch."""
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            shown = batch.take(sample)
+        with persisted(batch) as rows:
+            shown = rows.take(sample)
             if shown:
-                report(batch_id, batch.count(), shown)
-        finally:
-            batch.unpersist()
+                report(batch_id, rows.count(), shown)
 
     return handle
 
@@ -79,11 +76,10 @@ def scoring_handler(
         return model
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            if batch.isEmpty():
+        with persisted(batch) as rows:
+            if rows.isEmpty():
                 return
-            usable, unusable = split_complete(batch, SENSOR_FEATURES)
+            usable, unusable = split_complete(rows, SENSOR_FEATURES)
             model = current_model(usable)
             if model is None:
                 waiting = usable.withColumn("missing", F.array(F.lit("model")))
@@ -91,7 +87,5 @@ def scoring_handler(
             else:
                 write_batch(unusable, rejected, batch_id)
                 write_batch(score_sensors(model, usable, keep), out, batch_id)
-        finally:
-            batch.unpersist()
 
     return handle

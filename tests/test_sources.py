@@ -171,6 +171,18 @@ def test_staged_table(spark):
     assert spark.conf.get("spark.checkpoint.dir") in staged.inputFiles()[0]
 
 
+def test_persisted_leaves_the_callers_cache_alone(spark):
+    df = spark.range(100).where("id > 3")
+    with staging.persisted(df) as kept:
+        assert kept.storageLevel.useMemory and kept.count() == 96
+    assert not df.storageLevel.useMemory
+    df.persist()
+    with staging.persisted(df):
+        pass
+    assert df.storageLevel.useMemory
+    df.unpersist()
+
+
 def test_work_dir_refuses_local_folders_on_a_cluster():
     class Conf(dict):
         def set(self, key, value):
