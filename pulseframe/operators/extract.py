@@ -7,7 +7,14 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pulseframe.operators.joins import BROADCAST_BYTES, ROW, join_by_key, numbered
+from pulseframe.operators.joins import (
+    BROADCAST_BYTES,
+    ROW,
+    fits_broadcast,
+    is_unique,
+    join_by_key,
+    numbered,
+)
 from pulseframe.schemas import ClinicalTables
 
 EXTRACT_COLUMNS = [
@@ -42,6 +49,17 @@ def stays(tables: ClinicalTables, broadcast_bytes: int = BROADCAST_BYTES) -> Dat
     ).drop(ROW)
 
 
+def stays_are_small(tables: ClinicalTables, limit: int = BROADCAST_BYTES) -> bool:
+    """Whether admissions with their patient may be broadcast.
+
+    If each patient has one row, the join has no more rows than the admissions,
+    so the two tables' sizes bound it. That is checked, on small tables only:
+    repeated patients could multiply two small tables into a large one.
+    """
+    both = [tables.admissions, tables.patients]
+    return fits_broadcast(both, limit) and is_unique(tables.patients, "subject_id")
+
+
 def join_clinical_tables(
     tables: ClinicalTables, broadcast_bytes: int = BROADCAST_BYTES
 ) -> DataFrame:
@@ -63,7 +81,7 @@ def join_clinical_tables(
         stays(tables, broadcast_bytes),
         "hadm_id",
         spread_by=[ROW],
-        sized_by=[tables.admissions, tables.patients],
+        small=stays_are_small(tables, broadcast_bytes),
         hot_from=tables.chartevents,
         broadcast_bytes=broadcast_bytes,
     ).select(EXTRACT_COLUMNS)

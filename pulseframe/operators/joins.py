@@ -34,6 +34,11 @@ def fits_broadcast(frames: Sequence[DataFrame], limit: int = BROADCAST_BYTES) ->
     return sum(estimated_bytes(frame) for frame in frames) <= limit
 
 
+def is_unique(table: DataFrame, key: str) -> bool:
+    repeated = table.groupBy(key).count().where(F.col("count") > 1)
+    return repeated.isEmpty()
+
+
 def numbered(table: DataFrame) -> DataFrame:
     """Adds a row number for `spread_by`, so that even exact copies are spread.
 
@@ -85,20 +90,23 @@ def join_by_key(
     key: str,
     *,
     spread_by: Sequence[str],
-    sized_by: Sequence[DataFrame] | None = None,
+    small: bool | None = None,
     hot_from: DataFrame | None = None,
     broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Inner join on `key`.
 
-    `sized_by`: base tables whose size bounds `dims`, when `dims` is itself a
-    join and Catalyst would multiply the sizes. `hot_from`: a cheaper frame with
-    the same key distribution as `facts`, for finding hot keys. `spread_by`:
+    `small`: whether `dims` may be broadcast, where the caller knows a better
+    bound than Catalyst, which multiplies the sizes of joined tables. `hot_from`:
+    a cheaper frame with the same key distribution as `facts`, for finding hot
+    keys. `spread_by`:
     fact columns that differ within a hot key, or the number from `numbered`;
     hashing them (instead of drawing at random) keeps a retried task's rows
     where they were.
     """
-    if fits_broadcast(sized_by or [dims], broadcast_bytes):
+    if small is None:
+        small = fits_broadcast([dims], broadcast_bytes)
+    if small:
         return facts.join(F.broadcast(dims), key)
     hot = frequent_keys(hot_from if hot_from is not None else facts, key)
     if not hot:

