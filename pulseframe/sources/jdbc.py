@@ -53,9 +53,9 @@ def range_slices(column: str, lower: int, upper: int, slices: int) -> list[str]:
     first takes NULLs too. Each can use an index on the column. A value that
     holds a large share of the rows stays in one slice; see modulus_slices.
     """
-    if slices < 2 or upper <= lower:
-        return list(WHOLE)
     slices = min(slices, upper - lower)
+    if slices < 2:
+        return list(WHOLE)
     cuts = [lower + (upper - lower) * i // slices for i in range(1, slices)]
     inner = [f"{column} >= {a} AND {column} < {b}" for a, b in zip(cuts, cuts[1:])]
     return [f"{column} < {cuts[0]} OR {column} IS NULL", *inner, f"{column} >= {cuts[-1]}"]

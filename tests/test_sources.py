@@ -71,7 +71,7 @@ def test_jdbc_reads_one_table_each_in_slices(spark):
     assert read_jdbc(reader, connection, "patients") is golden.patients
 
 
-@settings(max_examples=60, deadline=None)
+@settings(max_examples=300, deadline=None)
 @given(st.integers(-50, 50), st.integers(0, 100), st.integers(1, 12))
 def test_range_slices_are_contiguous(lower, width, slices):
     clauses = range_slices("k", lower, lower + width, slices)
@@ -94,6 +94,8 @@ def test_range_slices_are_contiguous(lower, width, slices):
         modulus_slices(["a"], 5),
         modulus_slices(["a", "b"], 8),
         range_slices("a", 3, 3, 4),
+        range_slices("a", 3, 4, 4),
+        range_slices("a", 3, 5, 4),
     ],
 )
 def test_slices_take_every_row_once(spark, slices):
