@@ -31,9 +31,9 @@ class Layout:
     bucket_bits: int
 
 
-def layout(docs: DataFrame, text: str = "text") -> Layout:
+def layout(docs: DataFrame, text: str = "text", chunk_bytes: int = CHUNK_BYTES) -> Layout:
     size = docs.agg(F.sum(F.octet_length(F.col(text).cast("binary"))).alias("b")).first()["b"] or 0
-    return Layout(max(1, -(-size // CHUNK_BYTES)), max(3, int(size // BUCKET_BYTES).bit_length()))
+    return Layout(max(1, -(-size // chunk_bytes)), max(3, int(size // BUCKET_BYTES).bit_length()))
 
 
 def chunked(docs: DataFrame, plan: Layout, id_column: str = "doc_id", text: str = "text") -> DataFrame:
@@ -98,12 +98,12 @@ def count_request(chunk: int, keys: np.ndarray, counts: np.ndarray, bits: int) -
     return _requests(chunk, buckets[cuts[:-1]], parts)
 
 
-def _runs(ordered: np.ndarray) -> np.ndarray:
+def run_starts(ordered: np.ndarray) -> np.ndarray:
     fresh = np.concatenate([[True], ordered[1:] != ordered[:-1]])
     return np.flatnonzero(fresh)
 
 
-def _replies(table: pa.Table, sizes: np.ndarray, flags: np.ndarray) -> pa.Table:
+def reply_table(table: pa.Table, sizes: np.ndarray, flags: np.ndarray) -> pa.Table:
     ends = np.cumsum(sizes)
     return pa.table(
         {
@@ -120,17 +120,17 @@ def count_reply(table: pa.Table) -> pa.Table:
     keys = np.concatenate([np.frombuffer(b, np.uint32) for b in blobs])
     counts = np.concatenate([np.frombuffer(b, np.uint8) for b in table.column("extra").to_pylist()]).astype(np.int64)
     order = np.argsort(keys, kind="stable")
-    at = _runs(keys[order])
+    at = run_starts(keys[order])
     totals = np.add.reduceat(counts[order], at)
     level = np.where(totals < 16, totals, 16 + 8 * (np.log2(np.maximum(totals, 1)) - 4)).astype(np.int64)
     level = np.minimum(level, 255).astype(np.uint8)
     flags = np.empty(len(keys), np.uint8)
     flags[order] = np.repeat(level, np.diff(np.concatenate([at, [len(keys)]])))
-    return _replies(table, np.array([len(b) // 4 for b in blobs]), flags)
+    return reply_table(table, np.array([len(b) // 4 for b in blobs]), flags)
 
 
-def owner_request(chunk: int, keys: np.ndarray, second: np.ndarray, owners: np.ndarray, counts: np.ndarray, bits: int):
-    """For distinct keys: the key, its smallest owner here and its count (255 at most).
+def owner_request(chunk: int, keys: np.ndarray, second: np.ndarray, owners: np.ndarray, extra: np.ndarray, bits: int):
+    """For distinct keys: the key, its smallest owner here and something extra.
 
     `second` is an independent hash of the same content; it names the bucket, so that two
     contents are taken for one only if 64 bits and the bucket agree. Returns the order in which
@@ -138,7 +138,7 @@ def owner_request(chunk: int, keys: np.ndarray, second: np.ndarray, owners: np.n
     """
     buckets = bucket_of(second, bits)
     order = np.argsort(buckets, kind="stable")
-    buckets, keys, owners, counts = buckets[order], keys[order], owners[order], np.minimum(counts[order], 255).astype(np.uint8)
+    buckets, keys, owners, extra = buckets[order], keys[order], owners[order], extra[order]
     cuts = _cuts(buckets)
     parts = []
     for a, b in zip(cuts[:-1], cuts[1:]):
@@ -146,7 +146,7 @@ def owner_request(chunk: int, keys: np.ndarray, second: np.ndarray, owners: np.n
         wide = np.uint16 if len(names) < 1 << 16 else np.uint32
         head = np.array([len(names)], np.int64)
         parts.append(
-            (keys[a:b].tobytes(), counts[a:b].tobytes(), head.tobytes() + names.astype(np.int64).tobytes() + index.astype(wide).tobytes())
+            (keys[a:b].tobytes(), extra[a:b].tobytes(), head.tobytes() + names.astype(np.int64).tobytes() + index.astype(wide).tobytes())
         )
     return order, _requests(chunk, buckets[cuts[:-1]], parts)
 
@@ -157,12 +157,12 @@ def _owners(blob: bytes) -> np.ndarray:
     return names[np.frombuffer(blob, np.uint16 if n < 1 << 16 else np.uint32, -1, 8 + 8 * n)]
 
 
-def _smallest(table: pa.Table):
+def smallest(table: pa.Table):
     blobs = table.column("keys").to_pylist()
     keys = np.concatenate([np.frombuffer(b, np.uint64) for b in blobs])
     owners = np.concatenate([_owners(b) for b in table.column("owners").to_pylist()])
     order = np.argsort(keys, kind="stable")
-    at = _runs(keys[order])
+    at = run_starts(keys[order])
     spread = np.diff(np.concatenate([at, [len(keys)]]))
     least = np.empty(len(keys), np.int64)
     least[order] = np.repeat(np.minimum.reduceat(owners[order], at), spread)
@@ -171,19 +171,19 @@ def _smallest(table: pa.Table):
 
 def earlier_reply(table: pa.Table) -> pa.Table:
     """One byte a key: 1 if another chunk has a smaller owner of it."""
-    _, owners, _, _, _, least, sizes = _smallest(table)
-    return _replies(table, sizes, (least < owners).astype(np.uint8))
+    _, owners, _, _, _, least, sizes = smallest(table)
+    return reply_table(table, sizes, (least < owners).astype(np.uint8))
 
 
 def holder_reply(table: pa.Table) -> pa.Table:
     """Nine bytes a key: its smallest owner anywhere, and its count (255 at most)."""
-    keys, _, order, at, spread, least, sizes = _smallest(table)
+    keys, _, order, at, spread, least, sizes = smallest(table)
     counts = np.concatenate([np.frombuffer(b, np.uint8) for b in table.column("extra").to_pylist()]).astype(np.int64)
     totals = np.empty(len(keys), np.int64)
     totals[order] = np.repeat(np.add.reduceat(counts[order], at), spread)
     answer = np.empty(len(keys), np.dtype([("owner", "<i8"), ("count", "u1")]))
     answer["owner"], answer["count"] = least, np.minimum(totals, 255)
-    return _replies(table, sizes, answer)
+    return reply_table(table, sizes, answer)
 
 
 def answers(table: pa.Table, dtype=np.uint8) -> np.ndarray:
@@ -229,14 +229,22 @@ class Claims:
     owners: np.ndarray  # smallest owner here, by request
 
 
-def claims(chunk: int, keys: np.ndarray, second: np.ndarray, owners: np.ndarray, bits: int) -> Claims:
-    """Requests for the smallest owner of each key; `owners` has one id for each key given."""
+def claims(chunk: int, keys: np.ndarray, second: np.ndarray, owners: np.ndarray, bits: int, extra: np.ndarray | None = None) -> Claims:
+    """Requests for the smallest owner of each key; `owners` has one id for each key given.
+
+    `extra` goes along, the same for equal keys; by default it is how often the key occurs (255 at most).
+    """
     uniq, place, counts = distinct(keys, bits)
     least = np.full(len(uniq), np.iinfo(np.int64).max, np.int64)
     np.minimum.at(least, place, owners)
     other = np.empty(len(uniq), np.uint64)
     other[place] = second
-    order, table = owner_request(chunk, uniq, other, least, counts, bits)
+    if extra is None:
+        along = np.minimum(counts, 255).astype(np.uint8)
+    else:
+        along = np.empty(len(uniq), extra.dtype)
+        along[place] = extra
+    order, table = owner_request(chunk, uniq, other, least, along, bits)
     back = np.empty(len(order), np.int64)
     back[order] = np.arange(len(order))
     return Claims(table, back[place] if len(place) else place, least[order])

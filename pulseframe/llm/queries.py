@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from pulseframe.llm.ship import ship
 from pulseframe.llm.substring_dedup import substring_dedup
+from pulseframe.llm.suffix_dedup import suffix_dedup
 
 
 def _read(spark: SparkSession, base: str, name: str) -> DataFrame:
@@ -20,12 +21,18 @@ def _sha256(column: str):
     return F.sha2(F.col(column).cast("binary"), 256)
 
 
+def op6_suffix_array_dedup(spark: SparkSession, base: str) -> DataFrame:
+    done = suffix_dedup(_read(spark, base, "documents"))
+    return done.select("doc_id", "n_bytes", "n_removed", "n_spans", _sha256("kept").alias("kept_sha256"))
+
+
 def op8_substring_dedup(spark: SparkSession, base: str) -> DataFrame:
     done = substring_dedup(_read(spark, base, "documents"))
     return done.select("doc_id", "n_words", "n_removed", _sha256("kept").alias("kept_sha256"), "n_spans")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op6_suffix_array_dedup": op6_suffix_array_dedup,
     "op8_substring_dedup": op8_substring_dedup,
 }
 
