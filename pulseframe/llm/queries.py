@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pulseframe.llm.ngram_join import ngram_join
 from pulseframe.llm.ship import ship
 from pulseframe.llm.substring_dedup import substring_dedup
 from pulseframe.llm.suffix_dedup import suffix_dedup
@@ -21,6 +22,10 @@ def _sha256(column: str):
     return F.sha2(F.col(column).cast("binary"), 256)
 
 
+def op1_ngram_jaccard_join(spark: SparkSession, base: str) -> DataFrame:
+    return ngram_join(_read(spark, base, "documents"))
+
+
 def op6_suffix_array_dedup(spark: SparkSession, base: str) -> DataFrame:
     done = suffix_dedup(_read(spark, base, "documents"))
     return done.select("doc_id", "n_bytes", "n_removed", "n_spans", _sha256("kept").alias("kept_sha256"))
@@ -32,6 +37,7 @@ def op8_substring_dedup(spark: SparkSession, base: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
     "op6_suffix_array_dedup": op6_suffix_array_dedup,
     "op8_substring_dedup": op8_substring_dedup,
 }
