@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pulseframe.llm.line_dedup import line_dedup
 from pulseframe.llm.ngram_join import ngram_join
 from pulseframe.llm.ship import ship
 from pulseframe.llm.substring_dedup import substring_dedup
@@ -36,10 +37,16 @@ def op8_substring_dedup(spark: SparkSession, base: str) -> DataFrame:
     return done.select("doc_id", "n_words", "n_removed", _sha256("kept").alias("kept_sha256"), "n_spans")
 
 
+def op10_line_dedup(spark: SparkSession, base: str) -> DataFrame:
+    done = line_dedup(_read(spark, base, "documents"))
+    return done.select("doc_id", "n_lines", "n_removed", "n_blocks", _sha256("kept").alias("kept_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
     "op6_suffix_array_dedup": op6_suffix_array_dedup,
     "op8_substring_dedup": op8_substring_dedup,
+    "op10_line_dedup": op10_line_dedup,
 }
 
 ORACLE_SQL: dict[str, str] = {}
