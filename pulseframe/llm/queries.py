@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pulseframe.llm.decontamination import find_contamination, is_contaminated
 from pulseframe.llm.line_dedup import line_dedup
 from pulseframe.llm.ngram_join import ngram_join
 from pulseframe.llm.ship import ship
@@ -27,6 +28,18 @@ def op1_ngram_jaccard_join(spark: SparkSession, base: str) -> DataFrame:
     return ngram_join(_read(spark, base, "documents"))
 
 
+def op4_benchmark_decontamination(spark: SparkSession, base: str) -> DataFrame:
+    found = find_contamination(_read(spark, base, "documents"), _read(spark, base, "benchmark"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        "n_items",
+        F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"),
+        is_contaminated(F.col("n_hit"), F.col("n_words")).alias("contaminated"),
+    )
+
+
 def op6_suffix_array_dedup(spark: SparkSession, base: str) -> DataFrame:
     done = suffix_dedup(_read(spark, base, "documents"))
     return done.select("doc_id", "n_bytes", "n_removed", "n_spans", _sha256("kept").alias("kept_sha256"))
@@ -44,6 +57,7 @@ def op10_line_dedup(spark: SparkSession, base: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
+    "op4_benchmark_decontamination": op4_benchmark_decontamination,
     "op6_suffix_array_dedup": op6_suffix_array_dedup,
     "op8_substring_dedup": op8_substring_dedup,
     "op10_line_dedup": op10_line_dedup,
