@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pulseframe.llm.decontamination import find_contamination, is_contaminated
 from pulseframe.llm.line_dedup import line_dedup
 from pulseframe.llm.ngram_join import ngram_join
+from pulseframe.llm.packing import pack
 from pulseframe.llm.ship import ship
 from pulseframe.llm.substring_dedup import substring_dedup
 from pulseframe.llm.suffix_dedup import suffix_dedup
@@ -50,6 +51,10 @@ def op8_substring_dedup(spark: SparkSession, base: str) -> DataFrame:
     return done.select("doc_id", "n_words", "n_removed", _sha256("kept").alias("kept_sha256"), "n_spans")
 
 
+def op9_best_fit_packing(spark: SparkSession, base: str) -> DataFrame:
+    return pack(_read(spark, base, "documents"))
+
+
 def op10_line_dedup(spark: SparkSession, base: str) -> DataFrame:
     done = line_dedup(_read(spark, base, "documents"))
     return done.select("doc_id", "n_lines", "n_removed", "n_blocks", _sha256("kept").alias("kept_sha256"))
@@ -60,6 +65,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_benchmark_decontamination": op4_benchmark_decontamination,
     "op6_suffix_array_dedup": op6_suffix_array_dedup,
     "op8_substring_dedup": op8_substring_dedup,
+    "op9_best_fit_packing": op9_best_fit_packing,
     "op10_line_dedup": op10_line_dedup,
 }
 
