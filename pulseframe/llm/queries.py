@@ -14,6 +14,7 @@ from pulseframe.llm.packing import pack
 from pulseframe.llm.ship import ship
 from pulseframe.llm.substring_dedup import substring_dedup
 from pulseframe.llm.suffix_dedup import suffix_dedup
+from pulseframe.llm.top_k import top_k
 
 
 def _read(spark: SparkSession, base: str, name: str) -> DataFrame:
@@ -46,6 +47,11 @@ def op6_suffix_array_dedup(spark: SparkSession, base: str) -> DataFrame:
     return done.select("doc_id", "n_bytes", "n_removed", "n_spans", _sha256("kept").alias("kept_sha256"))
 
 
+def op7_exact_top_k(spark: SparkSession, base: str) -> DataFrame:
+    vectors = _read(spark, base, "embeddings")
+    return top_k(vectors, vectors.where(F.col("vec_id") % 100 == 0))
+
+
 def op8_substring_dedup(spark: SparkSession, base: str) -> DataFrame:
     done = substring_dedup(_read(spark, base, "documents"))
     return done.select("doc_id", "n_words", "n_removed", _sha256("kept").alias("kept_sha256"), "n_spans")
@@ -64,9 +70,29 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
     "op4_benchmark_decontamination": op4_benchmark_decontamination,
     "op6_suffix_array_dedup": op6_suffix_array_dedup,
+    "op7_exact_top_k": op7_exact_top_k,
     "op8_substring_dedup": op8_substring_dedup,
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_line_dedup": op10_line_dedup,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+_TOP_K = """
+WITH usable AS (
+  SELECT vec_id, list_transform(embedding, x -> floor(1024 * CAST(x AS DOUBLE))) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+), pairs AS (
+  SELECT q.vec_id AS query_id, c.vec_id AS vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
+  FROM usable q JOIN usable c ON q.vec_id <> c.vec_id
+  WHERE q.vec_id % 100 = 0
+), ranked AS (
+  SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+  FROM pairs
+)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10
+"""
+
+ORACLE_SQL: dict[str, str] = {
+    "op7_exact_top_k": _TOP_K,
+}
