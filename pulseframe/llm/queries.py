@@ -11,6 +11,7 @@ from pulseframe.llm.decontamination import find_contamination, is_contaminated
 from pulseframe.llm.line_dedup import line_dedup
 from pulseframe.llm.ngram_join import ngram_join
 from pulseframe.llm.packing import pack
+from pulseframe.llm.quality_gam import quality_scores
 from pulseframe.llm.ship import ship
 from pulseframe.llm.substring_dedup import substring_dedup
 from pulseframe.llm.suffix_dedup import suffix_dedup
@@ -30,6 +31,10 @@ def op1_ngram_jaccard_join(spark: SparkSession, base: str) -> DataFrame:
     return ngram_join(_read(spark, base, "documents"))
 
 
+def op2_quality_classifier(spark: SparkSession, base: str) -> DataFrame:
+    return quality_scores(_read(spark, base, "documents"), _read(spark, base, "labels"))
+
+
 def op4_benchmark_decontamination(spark: SparkSession, base: str) -> DataFrame:
     found = find_contamination(_read(spark, base, "documents"), _read(spark, base, "benchmark"))
     return found.select(
@@ -68,6 +73,7 @@ def op10_line_dedup(spark: SparkSession, base: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
+    "op2_quality_classifier": op2_quality_classifier,
     "op4_benchmark_decontamination": op4_benchmark_decontamination,
     "op6_suffix_array_dedup": op6_suffix_array_dedup,
     "op7_exact_top_k": op7_exact_top_k,
