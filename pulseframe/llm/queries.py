@@ -12,6 +12,7 @@ from pulseframe.llm.line_dedup import line_dedup
 from pulseframe.llm.ngram_join import ngram_join
 from pulseframe.llm.packing import pack
 from pulseframe.llm.quality_gam import quality_scores
+from pulseframe.llm.secret_scan import digest, secret_scan
 from pulseframe.llm.ship import ship
 from pulseframe.llm.substring_dedup import substring_dedup
 from pulseframe.llm.suffix_dedup import suffix_dedup
@@ -35,6 +36,10 @@ def op2_quality_classifier(spark: SparkSession, base: str) -> DataFrame:
     return quality_scores(_read(spark, base, "documents"), _read(spark, base, "labels"))
 
 
+def op3_secret_scan(spark: SparkSession, base: str) -> DataFrame:
+    return digest(secret_scan(_read(spark, base, "documents")))
+
+
 def op4_benchmark_decontamination(spark: SparkSession, base: str) -> DataFrame:
     found = find_contamination(_read(spark, base, "documents"), _read(spark, base, "benchmark"))
     return found.select(
@@ -74,6 +79,7 @@ def op10_line_dedup(spark: SparkSession, base: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
     "op2_quality_classifier": op2_quality_classifier,
+    "op3_secret_scan": op3_secret_scan,
     "op4_benchmark_decontamination": op4_benchmark_decontamination,
     "op6_suffix_array_dedup": op6_suffix_array_dedup,
     "op7_exact_top_k": op7_exact_top_k,
