@@ -216,16 +216,15 @@ def ngram_join(docs: DataFrame, size: int = 5, threshold: float = 0.75, id_colum
     firsts = alive.groupBy(same).agg(F.min("doc_id").alias("class_id"))
     classes = stage(alive.select("doc_id", *same).join(firsts, same).groupBy("doc_id", *same).agg(F.min("class_id").alias("class_id")), "ngram-classes")
     standing = classes.where("doc_id = class_id").select("doc_id", *same)
-    reps = alive.join(standing, ["doc_id", *same], "left_semi")
-
-    leaders = _leaders(reps)
-    inside = stage(_inside(leaders, reps, share), "ngram-links")
+    leaders = _leaders(alive.select("doc_id", *same, "sketch").join(standing, ["doc_id", *same], "left_semi"))
+    # From here on tables name representatives only, so the sets are joined as they lie.
+    inside = stage(_inside(leaders, alive, share), "ngram-links")
     parts = components(inside)
     grouped = leaders.join(parts.withColumnRenamed("id", "doc_id"), "doc_id", "left").select(
         "doc_id", "leader", "part", F.coalesce("component", "doc_id").alias("component")
     )
     grouped = stage(grouped, "ngram-groups")
-    across = stage(_across(grouped, reps, share), "ngram-links")
+    across = stage(_across(grouped, alive, share), "ngram-links")
     same_set = classes.where("doc_id <> class_id").select(F.col("doc_id").alias("a"), F.col("class_id").alias("b"))
     found = components(inside.union(across).union(same_set)).withColumnRenamed("id", "doc_id")
     return (
@@ -250,13 +249,13 @@ def _leaders(reps: DataFrame) -> DataFrame:
     return stage(placed, "ngram-leaders")
 
 
-def _inside(leaders: DataFrame, reps: DataFrame, share: Fraction) -> DataFrame:
+def _inside(leaders: DataFrame, sets: DataFrame, share: Fraction) -> DataFrame:
     """A spanning forest of the links inside each group and with its leader."""
     crowded = leaders.where("members > 1 or doc_id <> leader")
     members = crowded.select("doc_id", "leader", "part")
     heads = crowded.select(F.col("leader").alias("doc_id"), "leader", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part")).distinct()
     seats = members.union(heads).distinct().groupBy("doc_id").agg(F.collect_set(F.struct("leader", "part")).alias("seats"))
-    seated = _with_rows(seats, reps.select("doc_id", "n_shingles", "tokens"), "doc_id")
+    seated = _with_rows(seats, sets.select("doc_id", "n_shingles", "tokens"), "doc_id")
     seated = seated.select("doc_id", "n_shingles", "tokens", F.explode("seats").alias("seat"))
     seated = seated.selectExpr("doc_id", "n_shingles", "tokens", "seat.leader AS leader", "seat.part AS part")
 
@@ -277,10 +276,10 @@ def _spread(rows: DataFrame) -> DataFrame:
     return rows.withColumn("seat", F.explode("seats")).select(*own, *seats)
 
 
-def _across(grouped: DataFrame, reps: DataFrame, share: Fraction) -> DataFrame:
+def _across(grouped: DataFrame, sets: DataFrame, share: Fraction) -> DataFrame:
     """Links between documents that links inside groups do not connect yet."""
     p, q = share.numerator, share.denominator
-    ranked = reps.select("doc_id", "n_shingles", "probe", "n_index").join(grouped, "doc_id")
+    ranked = _with_rows(grouped, sets.select("doc_id", "n_shingles", "probe", "n_index"), "doc_id")
     index = (
         ranked.where("n_index > 0")
         .select("leader", "part", "component", "n_shingles", F.explode(F.slice("probe", F.lit(1), F.col("n_index"))).alias("token"))
@@ -306,7 +305,7 @@ def _across(grouped: DataFrame, reps: DataFrame, share: Fraction) -> DataFrame:
         "doc_id", "component", "leader", "part", F.explode(F.sequence(F.lit(0), F.col("turns") - 1)).alias("turn")
     )
     members = members.groupBy("doc_id").agg(F.collect_set(F.struct("leader", "part", "turn", "component")).alias("seats"))
-    rows = reps.select("doc_id", "n_shingles", "tokens")
+    rows = sets.select("doc_id", "n_shingles", "tokens")
     left, right = _spread(_with_rows(members, rows, "doc_id")), _spread(_with_rows(queries, rows, "doc_id"))
 
     def opened(group: pa.Table, asked: pa.Table) -> pa.Table:
