@@ -1,14 +1,83 @@
-"""From raw documents to packed training sequences, stage by stage."""
+"""From raw documents to packed training sequences, stage by stage.
+
+Every stage takes (spark, docs, sf_dir) and works on all that the one before it kept. All but the
+last return the columns of `documents`.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from pulseframe.llm.decontamination import decontaminate
+from pulseframe.llm.line_dedup import line_dedup
+from pulseframe.llm.ngram_join import ngram_join
+from pulseframe.llm.packing import pack
+from pulseframe.llm.quality_gam import quality_filter
+from pulseframe.llm.ship import ship
+from pulseframe.staging import stage
+
+COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+
+
+def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+
+
+def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality model, fitted to the labels, does not reject."""
+    ship(spark)
+    return quality_filter(docs.select(COLUMNS), _table(spark, sf_dir, "labels"))
+
+
+def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without line blocks of earlier documents; a document that loses all its lines goes. A null text is empty here."""
+    ship(spark)
+    done = line_dedup(docs.select(COLUMNS), carry=["lang", "source", "n_chars"])
+    changed = F.col("n_removed") > 0
+    return done.where(~changed | (F.col("n_removed") < F.col("n_lines"))).select(
+        "doc_id",
+        F.col("kept").alias("text"),
+        "rest.lang",
+        "rest.source",
+        F.when(changed, F.length("kept").cast("long")).otherwise(F.col("rest.n_chars")).alias("n_chars"),
+    )
+
+
+def keep_one_of_similar(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of similar documents the one with the smallest id; of rows that share an id, the least."""
+    ship(spark)
+    later = ngram_join(docs).where("component_id <> doc_id").select("doc_id").distinct()
+    left = docs.select(COLUMNS).join(later, "doc_id", "left_anti")
+    rest = F.struct(*COLUMNS[1:])
+    return left.groupBy("doc_id").agg(F.min(rest).alias("rest")).select("doc_id", "rest.*")
+
+
+def drop_benchmark_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents of which less than a twentieth of the words lies in benchmark passages."""
+    return decontaminate(docs.select(COLUMNS), _table(spark, sf_dir, "benchmark"))
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Where every piece of every document lies in the training sequences."""
+    ship(spark)
+    return pack(docs)
+
 
-STAGES: list = []
+STAGES = [
+    ("quality classifier", keep_quality),
+    ("line dedup", drop_repeated_lines),
+    ("n-gram Jaccard join", keep_one_of_similar),
+    ("benchmark decontamination", drop_benchmark_texts),
+    ("best-fit packing", pack_sequences),
+]
 
 #: The classifier's scores and the packing have no SQL form; tests/llm compares with brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
+    docs = _table(spark, sf_dir, "documents")
+    for name, apply in STAGES:
+        docs = stage(apply(spark, docs, sf_dir), name.replace(" ", "-"))
+    return docs

@@ -137,3 +137,10 @@ def find_contamination(
 def is_contaminated(n_hit: Column, n_words: Column, share: int = 20) -> Column:
     """At least one word in `share` is hit."""
     return (n_hit > 0) & (n_hit * share >= n_words)
+
+
+def decontaminate(docs: DataFrame, benchmark: DataFrame, share: int = 20, id_column: str = "doc_id", **settings) -> DataFrame:
+    """The documents that are not contaminated, with all their columns; rows without an id stay."""
+    found = find_contamination(docs, benchmark, id_column=id_column, **settings)
+    gone = found.where(is_contaminated(F.col("n_hit"), F.col("n_words"), share)).select(F.col("doc_id").alias(id_column)).distinct()
+    return docs.join(gone, id_column, "left_anti")

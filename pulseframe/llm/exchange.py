@@ -8,7 +8,7 @@ many documents share a key, a bucket gets one entry of it per chunk.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -36,13 +36,15 @@ def layout(docs: DataFrame, text: str = "text", chunk_bytes: int = CHUNK_BYTES)
     return Layout(max(1, -(-size // chunk_bytes)), max(3, int(size // BUCKET_BYTES).bit_length()))
 
 
-def chunked(docs: DataFrame, plan: Layout, id_column: str = "doc_id", text: str = "text") -> DataFrame:
-    """(chunk, doc_id, text) of every row with an id."""
+def chunked(docs: DataFrame, plan: Layout, id_column: str = "doc_id", text: str = "text", carry: Sequence[str] = ()) -> DataFrame:
+    """(chunk, doc_id, text) of every row with an id, and a struct `rest` of the columns to carry, if any."""
+    rest = [F.struct(*(F.col(c) for c in carry)).alias("rest")] if carry else []
     key = F.col(id_column)
     return docs.where(key.isNotNull()).select(
         F.pmod(F.xxhash64(key), F.lit(plan.chunks)).cast("int").alias("chunk"),
         key.cast("long").alias("doc_id"),
-        F.col(text).alias("text"),
+        F.col(text).cast("string").alias("text"),
+        *rest,
     )
 
 
@@ -208,18 +210,6 @@ def together(chunks: DataFrame, replies: DataFrame | None, work: Callable[..., p
     return chunks.groupBy("chunk").cogroup(replies.groupBy("chunk")).applyInArrow(work, schema)
 
 
-def batches(rows: Iterator, size: int) -> Iterator[list]:
-    """Lists of `size` rows at most."""
-    part: list = []
-    for row in rows:
-        part.append(row)
-        if len(part) == size:
-            yield part
-            part = []
-    if part:
-        yield part
-
-
 @dataclass(frozen=True)
 class Claims:
     """Distinct keys of a chunk in the order of its requests to the owners' buckets."""

@@ -16,6 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pulseframe.llm import exchange
 from pulseframe.llm.rolling import BYTE_VALUES, OTHER_BASE, Texts, Windows, Words
@@ -127,7 +128,13 @@ class _Lines:
 
 
 def line_dedup(
-    docs: DataFrame, few: int = 8, rarest: float = 0.5, least_chars: int = 20, id_column: str = "doc_id", text: str = "text"
+    docs: DataFrame,
+    few: int = 8,
+    rarest: float = 0.5,
+    least_chars: int = 20,
+    id_column: str = "doc_id",
+    text: str = "text",
+    carry: Sequence[str] = (),
 ) -> DataFrame:
     """doc_id, n_lines, n_removed, n_blocks, kept: texts without blocks aligned with an earlier document.
 
@@ -140,11 +147,11 @@ def line_dedup(
 
     A null or blank text has no lines; the text of a null is empty. Rows that share an id do not
     act on each other; each is judged and returned. Rows without an id are left out: nothing orders
-    them. Other columns are ignored.
+    them. The columns named by `carry` come along as they are, in a struct `rest`; others are ignored.
     """
     plan = exchange.layout(docs, text)
     bits = plan.bucket_bits
-    chunks = exchange.chunked(docs, plan, id_column, text)
+    chunks = exchange.chunked(docs, plan, id_column, text, carry)
 
     def request(table: pa.Table) -> pa.Table:
         return _Lines(table).claims(bits).table
@@ -209,7 +216,7 @@ def line_dedup(
             n_removed.append(len(gone))
             n_blocks.append(blocks)
             kept.append("\n".join(rest) if gone else text_ or "")
-        return pa.table(
+        done = pa.table(
             {
                 "doc_id": rows.column("doc_id"),
                 "n_lines": pa.array(n_lines, pa.int64()),
@@ -218,6 +225,7 @@ def line_dedup(
                 "kept": pa.array(kept, pa.string()),
             }
         )
+        return done.append_column("rest", rows.column("rest")) if carry else done
 
     holders = exchange.ask(chunks, request, exchange.holder_reply)
     found = exchange.together(chunks, holders, sequences, SEQUENCES)
@@ -225,4 +233,7 @@ def line_dedup(
     again = exchange.together(chunks, holders, sequences, SEQUENCES)
     earlier = again.select(F.col("doc_id").alias("partner"), F.col("lines").alias("their_lines"), F.col("places").alias("their_places"))
     removals = later.join(earlier, "partner").mapInArrow(align, REMOVALS)
-    return exchange.together(chunks, removals, cut, RESULT)
+    result = T.StructType.fromDDL(RESULT)
+    if carry:
+        result.add(chunks.schema["rest"])
+    return exchange.together(chunks, removals, cut, result)

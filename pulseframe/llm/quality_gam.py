@@ -16,9 +16,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pulseframe.llm.rolling import Texts, Windows, Words, positions
-from pulseframe.staging import stage
 
 
 def _class(*parts) -> np.ndarray:
@@ -46,8 +46,7 @@ CLASSES = {
 }
 FEATURES = ["log_bytes", *CLASSES, "word_bytes", "words_per_line", "distinct_words", "distinct_trigrams", "symbol_words", "stop_words", "capital_words"]
 
-ROWS = "doc_id long, features array<float>"
-SCORES = "doc_id long, score double"
+ROWS = "doc_id long, label int, features array<float>"
 
 #: Texts whose features are computed at a time, in rows.
 ROWS_AT_ONCE = 500
@@ -220,24 +219,49 @@ def held_out(doc_id):
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
-def _feature_rows(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for part in parts:
-        for at in range(0, len(part), ROWS_AT_ONCE):
-            rows = part.slice(at, ROWS_AT_ONCE)
-            x = text_features(rows.column("text"))
-            lists = pa.ListArray.from_arrays(pa.array(np.arange(len(x) + 1) * x.shape[1], pa.int32()), pa.array(x.ravel()))
-            yield pa.RecordBatch.from_arrays([rows.column("doc_id"), lists], names=["doc_id", "features"])
+def _labelled(labels: DataFrame, label: str) -> DataFrame:
+    known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("int").alias("label"))
+    return known.where(F.col("label").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"))).distinct()
 
 
-def training_rows(features: DataFrame, labels: DataFrame, most: int, label: str = "quality") -> tuple[np.ndarray, np.ndarray]:
-    """Features and labels of up to about `most` labelled rows that are not held out, by a hash of the id."""
-    known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("int").alias("label"))
-    known = known.where(F.col("label").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"))).distinct()
-    share = min(1.0, most / max(known.count(), 1))
+def fit_quality(
+    docs: DataFrame, labels: DataFrame, settings: GamSettings = GamSettings(), id_column: str = "doc_id", text: str = "text", label: str = "quality"
+) -> Gam:
+    """A model of the labelled documents that are not held out, of up to about `most_rows` of them.
+
+    Beyond that number the ids whose hash is low enough train. Only the features of these rows come to
+    the driver, so both it and the broadcast of their ids are bounded by the setting.
+    """
+    known = _labelled(labels, label)
+    share = min(1.0, settings.most_rows / max(known.count(), 1))
     chosen = known.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < int(share * (1 << 30)))
-    rows = features.join(chosen, "doc_id").orderBy("doc_id", "label", "features").limit(2 * most).collect()
-    x = np.array([r["features"] for r in rows], np.float32).reshape(len(rows), len(FEATURES))
-    return x, np.array([r["label"] for r in rows], float)
+    source = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
+
+    def rows_of(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in parts:
+            x = text_features(part.column("text"))
+            lists = pa.ListArray.from_arrays(pa.array(np.arange(len(x) + 1) * x.shape[1], pa.int32()), pa.array(x.ravel()))
+            yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("label"), lists], names=["doc_id", "label", "features"])
+
+    rows = source.join(F.broadcast(chosen), "doc_id").select("doc_id", "label", "text").mapInArrow(rows_of, ROWS).collect()
+    rows = sorted((r["doc_id"], r["label"], tuple(r["features"])) for r in rows)
+    x = np.array([r[2] for r in rows], np.float32).reshape(len(rows), len(FEATURES))
+    return fit(x, np.array([r[1] for r in rows], float), settings)
+
+
+def with_quality(docs: DataFrame, model: Gam, text: str = "text") -> DataFrame:
+    """(row, score): every row of the documents as it is, and its score."""
+    sent = docs.sparkSession.sparkContext.broadcast(model)
+
+    def score(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in parts:
+            texts = part.column("text")
+            scores = [sent.value.scores(text_features(texts.slice(at, ROWS_AT_ONCE))) for at in range(0, len(part), ROWS_AT_ONCE)]
+            yield pa.RecordBatch.from_arrays([part.column("row"), pa.array(np.concatenate([*scores, np.empty(0)]))], names=["row", "score"])
+
+    rows = docs.select(F.struct(*(docs[c] for c in docs.columns)).alias("row"), docs[text].cast("string").alias("text"))
+    schema = T.StructType([rows.schema["row"], T.StructField("score", T.DoubleType())])
+    return rows.mapInArrow(score, schema)
 
 
 def quality_scores(
@@ -251,13 +275,14 @@ def quality_scores(
     are 0.5; with one label only they are all its smoothed share. Other columns are ignored.
     """
     source = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    features = stage(source.mapInArrow(_feature_rows, ROWS), "quality-features")
-    model = docs.sparkSession.sparkContext.broadcast(fit(*training_rows(features, labels, settings.most_rows), settings))
+    scored = with_quality(source, fit_quality(source, labels, settings))
+    doc_id = F.col("row.doc_id")
+    return scored.select(doc_id.alias("doc_id"), held_out(doc_id).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
 
-    def score(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in parts:
-            x = part.column("features").flatten().to_numpy().reshape(len(part), len(FEATURES))
-            yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(model.value.scores(x))], names=["doc_id", "score"])
 
-    scored = features.mapInArrow(score, SCORES)
-    return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
+def quality_filter(
+    docs: DataFrame, labels: DataFrame, settings: GamSettings = GamSettings(), threshold: float = 0.7, id_column: str = "doc_id", text: str = "text"
+) -> DataFrame:
+    """The rows of the documents whose score reaches the threshold, with all their columns."""
+    scored = with_quality(docs, fit_quality(docs, labels, settings, id_column, text), text)
+    return scored.where(F.col("score") >= threshold).select("row.*")
