@@ -16,6 +16,7 @@ from pulseframe.llm.secret_scan import digest, secret_scan
 from pulseframe.llm.ship import ship
 from pulseframe.llm.substring_dedup import substring_dedup
 from pulseframe.llm.suffix_dedup import suffix_dedup
+from pulseframe.llm.token_counts import token_counts
 from pulseframe.llm.top_k import top_k
 
 
@@ -52,6 +53,10 @@ def op4_benchmark_decontamination(spark: SparkSession, base: str) -> DataFrame:
     )
 
 
+def op5_token_counts(spark: SparkSession, base: str) -> DataFrame:
+    return token_counts(_read(spark, base, "documents"))
+
+
 def op6_suffix_array_dedup(spark: SparkSession, base: str) -> DataFrame:
     done = suffix_dedup(_read(spark, base, "documents"))
     return done.select("doc_id", "n_bytes", "n_removed", "n_spans", _sha256("kept").alias("kept_sha256"))
@@ -81,6 +86,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality_classifier": op2_quality_classifier,
     "op3_secret_scan": op3_secret_scan,
     "op4_benchmark_decontamination": op4_benchmark_decontamination,
+    "op5_token_counts": op5_token_counts,
     "op6_suffix_array_dedup": op6_suffix_array_dedup,
     "op7_exact_top_k": op7_exact_top_k,
     "op8_substring_dedup": op8_substring_dedup,
