@@ -144,7 +144,8 @@ def line_dedup(
     as no line. A line is rare for a document if at most `few` documents hold it or it
     is among the `rarest` share of the document's distinct lines. The document is aligned with the
     smallest id that holds one of its rare lines, for each of them that has `least_chars` bytes and
-    a holder with a smaller id. Aligned blocks of at least `least_chars` bytes go, judged on
+    a holder with a smaller id. Lines of one document alone take no part in the alignment, but end a
+    block. Aligned blocks of at least `least_chars` bytes go, judged on
     the input; `kept` has the other lines, blank ones included. Unchanged texts are kept as they are.
 
     A null or blank text has no lines; the text of a null is empty. Rows that share an id do not

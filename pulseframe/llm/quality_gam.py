@@ -155,20 +155,28 @@ def _tree(gradient: np.ndarray, weight: np.ndarray, count: np.ndarray, s: GamSet
 
 
 def _pair_tree(gradient: np.ndarray, weight: np.ndarray, count: np.ndarray, s: GamSettings) -> tuple[float, np.ndarray]:
-    """A tree that cuts one feature and then, on each side, the other; and what it gains."""
+    """The best tree that cuts one feature and then, on each side, the other; and what it gains."""
+    root = gradient.sum() ** 2 / (weight.sum() + s.ridge)
     best = (0.0, np.zeros_like(gradient))
     for turned in (False, True):
-        g, h, n = (x.T if turned else x for x in (gradient, weight, count))
-        _, at = _split(g.sum(1), h.sum(1), n.sum(1), s)
-        value, gain = np.zeros_like(g), -(g.sum() ** 2) / (h.sum() + s.ridge)
-        for part in (slice(0, at), slice(at, None)):
-            _, cut = _split(g[part].sum(0), h[part].sum(0), n[part].sum(0), s)
-            for other in (slice(0, cut), slice(cut, None)):
-                total, mass = g[part, other].sum(), h[part, other].sum()
-                value[part, other] = total / (mass + s.ridge)
-                gain += total**2 / (mass + s.ridge)
-        if gain > best[0]:
-            best = (gain, value.T if turned else value)
+        g, h, n = (np.pad(x.T if turned else x, ((1, 0), (1, 0))).cumsum(0).cumsum(1) for x in (gradient, weight, count))
+        sides = []
+        for gs, hs, ns in ((g, h, n), (g[-1] - g, h[-1] - h, n[-1] - n)):  # rows below and from each first cut
+            value = lambda a, b: a**2 / (b + s.ridge)
+            gain = value(gs, hs) + value(gs[:, -1:] - gs, hs[:, -1:] - hs)
+            small = (np.minimum(ns, ns[:, -1:] - ns) < s.smallest_leaf) & (np.arange(gs.shape[1]) > 0)
+            gain[small] = -1
+            sides.append((gain.max(1), gain.argmax(1), gs, hs))
+        total = sides[0][0] + sides[1][0] - root
+        at = int(np.argmax(total))
+        if total[at] > best[0]:
+            table = np.zeros_like(gradient.T if turned else gradient)
+            for (_, cuts, gs, hs), rows in zip(sides, (slice(0, at), slice(at, None))):
+                cut = int(cuts[at])
+                left, mass = gs[at, cut], hs[at, cut]
+                table[rows, :cut] = left / (mass + s.ridge)
+                table[rows, cut:] = (gs[at, -1] - left) / (hs[at, -1] - mass + s.ridge)
+            best = (float(total[at]), table.T if turned else table)
     return best
 
 
