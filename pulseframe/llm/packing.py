@@ -77,10 +77,6 @@ def cuts(length: int, size: int) -> list[tuple[int, int]]:
 
 
 def _tokenised(parts: Iterator[pa.RecordBatch], path: str | None, end_id: int) -> Iterator[tuple[int | None, bytes]]:
-    if path is None:
-        import public_tokenizers
-
-        path = public_tokenizers.path("byte_bpe_50k.json")
     encode = encoder(path)
     end = end_id.to_bytes(4, "little")
     for part in parts:

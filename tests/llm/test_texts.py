@@ -255,6 +255,7 @@ def test_encoder_starts_anew(monkeypatch):
 
     monkeypatch.setattr(token_ids, "MOST_WORDS", 2)
     path = public_tokenizers.path("byte_bpe_50k.json")
-    encoder = Encoder(path)
+    ranked = Encoder(path, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
     texts = [t or "" for _, t in TEXTS]
-    assert encoder.batch(texts) == encoder.batch(texts) == [b"".join(encoder._encode([t])) for t in texts]
+    for encoder in (Encoder(path), ranked):
+        assert encoder.batch(texts) == encoder.batch(texts) == [b"".join(encoder._encode([t])) for t in texts]
