@@ -86,8 +86,11 @@ class Encoder:
             self.known["\n"] = self.feed.to_bytes(4, "little")
         split = [None if any(s in t for s in self.special) else self._words(t) for t in texts]
         known = self.known
-        missing = {w for words in split if words is not None for w in words if w not in known}
-        missing = list(missing)
+        seen: set[str] = set()
+        for words in split:
+            if words is not None:
+                seen.update(words)
+        missing = [w for w in seen if w not in known]
         fresh = dict(zip(missing, self._encode_words(missing))) if missing else {}
         known.update((w, ids) for w, ids in fresh.items() if len(w) <= LONGEST_WORD)
         whole = [t for t, words in zip(texts, split) if words is None]
@@ -100,7 +103,7 @@ class Encoder:
             elif rare:
                 out.append(b"".join([known[w] if w in known else rare[w] for w in words]))
             else:
-                out.append(b"".join([known[w] for w in words]))
+                out.append(b"".join(map(known.__getitem__, words)))
         return out
 
 
