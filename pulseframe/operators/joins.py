@@ -13,13 +13,19 @@ Three physical forms, chosen from measured facts and all giving the same rows:
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-BROADCAST_BYTES = 32 << 20
-SMALLEST_HOT_SHARE = 1e-4
+from pulseframe.staging import stage
+
+# Compressed file bytes, which may be a few times as many in memory.
+BROADCAST_BYTES = 16 << 20
+# What one task should read of a joined table at most.
+TASK_BYTES = 256 << 20
+# Hot keys that reach the driver and are broadcast; the sketch tracks eight times as many.
+MOST_HOT_KEYS = 100_000
 SKETCH_GROUPS = 256
 ROW = "_row"
 
@@ -49,39 +55,59 @@ def numbered(table: DataFrame) -> DataFrame:
     return table.withColumn(ROW, F.monotonically_increasing_id())
 
 
-def frequent_keys(df: DataFrame, key: str) -> dict:
-    """Keys that alone would overfill a shuffle partition -> share of the rows.
+def hot_share(df: DataFrame, task_bytes: int = TASK_BYTES) -> float:
+    """The share of the rows from which a key alone overfills a task.
 
-    Frequent-items sketches are built map-side and merged in two levels, so the
-    keys are never shuffled. At most 1/share keys can hold that share, which
-    bounds what reaches the driver whatever the input size (10,000 entries).
+    That of one shuffle partition or of `task_bytes`, whichever is less. Keys below 1/MOST_HOT_KEYS are
+    left to AQE's splitting of skewed partitions.
     """
     partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    share = max(1.0 / partitions, SMALLEST_HOT_SHARE)
+    share = min(1.0 / partitions, task_bytes / max(estimated_bytes(df), 1))
+    return max(share, 1.0 / MOST_HOT_KEYS)
+
+
+def frequent_keys_of(
+    df: DataFrame, keys: Sequence[str], task_bytes: int = TASK_BYTES
+) -> dict[str, dict]:
+    """For each key column: keys that alone would overfill a task -> share of the rows.
+
+    One pass for all of them. Frequent-items sketches are built map-side and merged in two levels, so the
+    keys are never shuffled. At most 1/share keys can hold that share, which
+    bounds what reaches the driver whatever the input size (MOST_HOT_KEYS entries).
+    """
+    share = hot_share(df, task_bytes)
     most = math.ceil(1.0 / share)
     tracked = 8 * most
     group = "_sketch_group"
     local = (
-        df.select(key)
-        .where(F.col(key).isNotNull())
+        df.select(*keys)
         .withColumn(group, F.spark_partition_id() % SKETCH_GROUPS)
         .groupBy(group)
         .agg(
-            F.expr(f"approx_top_k_accumulate(`{key}`, {tracked})").alias("sketch"),
-            F.count(F.lit(1)).alias("rows"),
+            *(F.expr(f"approx_top_k_accumulate(`{k}`, {tracked})").alias(f"sketch_{i}") for i, k in enumerate(keys)),
+            *(F.count(k).alias(f"rows_{i}") for i, k in enumerate(keys)),
         )
     )
     # Grouping by a constant leaves an empty input empty: there is no sketch to merge.
     merged = local.groupBy(F.lit(1).alias("all")).agg(
-        F.expr(f"approx_top_k_combine(sketch, {tracked})").alias("sketch"),
-        F.sum("rows").alias("rows"),
-    )
-    hot = (
-        merged.select(F.explode(F.expr(f"approx_top_k_estimate(sketch, {most})")).alias("top"), "rows")
-        .select(F.col("top.item").alias("key"), (F.col("top.count") / F.col("rows")).alias("share"))
-        .where(F.col("share") > share)
+        *(F.expr(f"approx_top_k_combine(sketch_{i}, {tracked})").alias(f"sketch_{i}") for i in range(len(keys))),
+        *(F.sum(f"rows_{i}").alias(f"rows_{i}") for i in range(len(keys))),
     )
-    return {row["key"]: row["share"] for row in hot.collect()}
+    tops = [F.expr(f"approx_top_k_estimate(sketch_{i}, {most})").alias(f"top_{i}") for i in range(len(keys))]
+    found: dict[str, dict] = {k: {} for k in keys}
+    for row in merged.select(*tops, *(f"rows_{i}" for i in range(len(keys)))).collect():
+        for i, k in enumerate(keys):
+            rows = row[f"rows_{i}"]
+            found[k] = {
+                t["item"]: t["count"] / rows
+                for t in row[f"top_{i}"]
+                if t["item"] is not None and t["count"] > share * rows
+            }
+    return found
+
+
+def frequent_keys(df: DataFrame, key: str, task_bytes: int = TASK_BYTES) -> dict:
+    return frequent_keys_of(df, [key], task_bytes)[key]
 
 
 def join_by_key(
@@ -91,15 +117,16 @@ def join_by_key(
     *,
     spread_by: Sequence[str],
     small: bool | None = None,
-    hot_from: DataFrame | None = None,
+    hot: Mapping | None = None,
+    stage_facts: bool = False,
     broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Inner join on `key`.
 
     `small`: whether `dims` may be broadcast, where the caller knows a better
-    bound than Catalyst, which multiplies the sizes of joined tables. `hot_from`:
-    a cheaper frame with the same key distribution as `facts`, for finding hot
-    keys. `spread_by`:
+    bound than Catalyst, which multiplies the sizes of joined tables. `hot`: hot keys of `facts`, where
+    the caller has counted them; otherwise they are looked for in `facts` itself. `stage_facts`: write
+    `facts` first, if they are costly to compute and not large. `spread_by`:
     fact columns that differ within a hot key, or the number from `numbered`;
     hashing them (instead of drawing at random) keeps a retried task's rows
     where they were.
@@ -108,7 +135,10 @@ def join_by_key(
         small = fits_broadcast([dims], broadcast_bytes)
     if small:
         return facts.join(F.broadcast(dims), key)
-    hot = frequent_keys(hot_from if hot_from is not None else facts, key)
+    if stage_facts:
+        facts = stage(facts, "facts")
+    if hot is None:
+        hot = frequent_keys(facts, key)
     if not hot:
         return facts.join(dims, key)
     return _salted_join(facts, dims, key, spread_by, hot)
@@ -119,7 +149,7 @@ def _salted_join(facts, dims, key, spread_by, hot):
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = [(k, math.ceil(2 * share * partitions)) for k, share in hot.items()]
     key_type = facts.schema[key].dataType.simpleString()
-    # At most 10,000 rows: see frequent_keys.
+    # At most MOST_HOT_KEYS rows: see hot_share.
     salts = F.broadcast(spark.createDataFrame(rows, f"`{key}` {key_type}, _salts int"))
     many = F.coalesce("_salts", F.lit(1))
     spread = facts.join(salts, key, "left").withColumn(

@@ -23,18 +23,29 @@ from pulseframe.schemas import (
 )
 from pulseframe.staging import persisted
 
-MOST_ROWS_PER_TASK = 500_000
-LEAST_ROWS_PER_TASK = 2_000
 
 
 @dataclass(frozen=True)
 class ForestSettings:
-    """Defaults of the forests; the seed also drives the split."""
+    """Settings of the forests; the seed also drives the split.
 
+    The same rows and settings give the same forest on any cluster. `rows_per_task` is part of that: it
+    decides how many partitions the training rows are placed in, and MLlib draws its samples per
+    partition. Training keeps one count per tree beside every row, about 800 bytes at 100 trees;
+    `subsampling_rate` bounds what a tree sees of a very large table.
+    """
+
+    # The defaults of the original job.
     num_trees: int = 100
     max_depth: int = 5
     seed: int = 42
     train_ratio: float = 0.8
+    # MLlib's own defaults.
+    bootstrap: bool = True
+    subsampling_rate: float = 1.0
+    feature_subset: str = "auto"
+    max_bins: int = 32
+    rows_per_task: int = 100_000
 
 
 @dataclass(frozen=True)
@@ -72,6 +83,10 @@ def forest(
         numTrees=settings.num_trees,
         maxDepth=settings.max_depth,
         seed=settings.seed,
+        bootstrap=settings.bootstrap,
+        subsamplingRate=settings.subsampling_rate,
+        featureSubsetStrategy=settings.feature_subset,
+        maxBins=settings.max_bins,
     )
 
 
@@ -92,28 +107,28 @@ def pressure_pipeline(
     )
 
 
-def sized_for_training(df: DataFrame) -> DataFrame:
-    """Spread a training set evenly over tasks.
+def placed_for_training(df: DataFrame, rows_per_task: int) -> DataFrame:
+    """The rows in partitions, and in an order within them, that only the rows decide.
 
-    Forest training keeps one count per tree beside every row, so partitions
-    cut by file size would be far too large in memory: no task gets more than
-    about MOST_ROWS_PER_TASK. And one small file must not train on one core:
-    the cores are used as long as each gets LEAST_ROWS_PER_TASK. Rows are dealt
-    out in turn and not by a hash of their values, under which copies of one
-    reading would meet in one task.
+    A row goes to the partition that its hash names. Copies of a row are counted, numbered and hashed
+    with their number, so that they are spread too; which copy is which does not matter.
     """
-    rows = df.count()
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    tasks = max(
-        math.ceil(rows / MOST_ROWS_PER_TASK), min(cores, math.ceil(rows / LEAST_ROWS_PER_TASK))
+    columns = [F.col(name) for name in df.columns]
+    tasks = max(1, math.ceil(df.count() / rows_per_task))
+    counted = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("_copies"))
+    numbered = counted.select(
+        *columns, F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies"))).alias("_copy")
     )
-    return df.repartition(tasks) if tasks > 1 else df
+    placed = numbered.repartition(tasks, *columns, F.col("_copy"))
+    return placed.sortWithinPartitions(*columns).drop("_copy")
 
 
-def fit(pipeline: Pipeline, train: DataFrame) -> PipelineModel:
-    """Fit on an evenly spread copy, kept in memory or on disk while the stages pass over it."""
-    with persisted(sized_for_training(train)) as spread:
-        return pipeline.fit(spread)
+def fit(
+    pipeline: Pipeline, train: DataFrame, settings: ForestSettings = ForestSettings()
+) -> PipelineModel:
+    """Fit on a placed copy, kept in memory or on disk while the stages pass over it."""
+    with persisted(placed_for_training(train, settings.rows_per_task)) as placed:
+        return pipeline.fit(placed)
 
 
 def train_and_evaluate(
@@ -127,12 +142,14 @@ def train_and_evaluate(
     The features are read several times: hand in a staged table.
     """
     train, test = key_split(features, keys, settings.train_ratio, settings.seed)
-    model = fit(pressure_pipeline(settings, handle_invalid), train)
+    model = fit(pressure_pipeline(settings, handle_invalid), train, settings)
     predictions = model.transform(test)
     return Evaluated(model, predictions, regression_metrics(predictions, BATCH_LABEL))
 
 
-def sensor_pipeline(settings: ForestSettings = ForestSettings()) -> Pipeline:
+def sensor_pipeline(
+    settings: ForestSettings = ForestSettings(), features: Sequence[str] = tuple(SENSOR_FEATURES)
+) -> Pipeline:
     """Assemble once, then both forests in a chain.
 
     Each forest adds its own column to the same row, so two predictions meet
@@ -140,7 +157,7 @@ def sensor_pipeline(settings: ForestSettings = ForestSettings()) -> Pipeline:
     """
     return Pipeline(
         stages=[
-            assembler(SENSOR_FEATURES),
+            assembler(features),
             forest("SBP", settings, prediction="Predicted_SBP"),
             forest("DBP", settings, prediction="Predicted_DBP"),
         ]
@@ -151,6 +168,7 @@ def train_dual_target(
     readings: DataFrame,
     settings: ForestSettings = ForestSettings(),
     keys: Sequence[str] | None = None,
+    features: Sequence[str] = tuple(SENSOR_FEATURES),
 ) -> Evaluated:
     """Systolic and diastolic forests over one split; metrics has one row per target.
 
@@ -159,7 +177,7 @@ def train_dual_target(
     """
     columns = list(keys or [*SENSOR_FEATURES, *SENSOR_TARGETS])
     train, test = key_split(readings, columns, settings.train_ratio, settings.seed)
-    model = fit(sensor_pipeline(settings), train)
+    model = fit(sensor_pipeline(settings, features), train, settings)
     predictions = model.transform(test)
     return Evaluated(model, predictions, dual_target_metrics(predictions))
 

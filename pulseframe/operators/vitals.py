@@ -42,22 +42,31 @@ def classify_by_dimension(readings: DataFrame, codes: DataFrame) -> DataFrame:
     )
 
 
-def vital_means() -> list[Column]:
-    return [
-        mean_where(F.col("measurement") == name, F.col("valuenum")).alias(column)
-        for name, column in VITAL_COLUMNS.items()
-    ]
+def vital_means(weight: Column | None = None) -> list[Column]:
+    """Mean per vital sign; `weight` says how often a reading counts."""
+    value = F.col("valuenum")
+    means = []
+    for name, column in VITAL_COLUMNS.items():
+        mine = F.col("measurement") == name
+        if weight is None:
+            means.append(mean_where(mine, value).alias(column))
+        else:
+            counted = F.sum(F.when(mine & value.isNotNull(), weight))
+            means.append((F.sum(F.when(mine, value * weight)) / counted).alias(column))
+    return means
 
 
 def pivot_vitals(
-    classified: DataFrame, key: Sequence[str] = tuple(OBSERVATION_KEY)
+    classified: DataFrame,
+    key: Sequence[str] = tuple(OBSERVATION_KEY),
+    weight: Column | None = None,
 ) -> DataFrame:
     """Mean per vital sign and observation; a vital that was not taken is NULL.
 
     Conditional means need one exchange; pivot() plans two. Partial sums are
     combined before it, so a huge admission or instant sends one row per task.
     """
-    return classified.groupBy(*key).agg(*vital_means())
+    return classified.groupBy(*key).agg(*vital_means(weight))
 
 
 def demographics(stay_rows: DataFrame) -> DataFrame:
@@ -82,17 +91,20 @@ def complete_vitals(wide: DataFrame) -> DataFrame:
 def join_demographics(
     wide: DataFrame,
     tables: ClinicalTables,
-    hot_from: DataFrame | None = None,
     broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
-    """Adds gender and age from the admissions and patients."""
+    """Adds gender and age from the admissions and patients.
+
+    Where these are too large to broadcast, the observations are written first: hot admissions are
+    then found among the rows that are joined, which may differ from those of the raw readings.
+    """
     return join_by_key(
         wide,
         demographics(stays(tables, broadcast_bytes)),
         "hadm_id",
         spread_by=["charttime"],
         small=stays_are_small(tables, broadcast_bytes),
-        hot_from=hot_from,
+        stage_facts=True,
         broadcast_bytes=broadcast_bytes,
     )
 
@@ -104,7 +116,8 @@ def preprocess_extract(
 ) -> DataFrame:
     """Extract -> complete observations with gender and age.
 
-    The extract feeds two branches; stage it first if it is costly to compute.
+    The extract feeds two branches; stage it first if it is costly to compute. Demographics are the
+    distinct ones of all its readings, which suits an extract with a limit; see feature_table.
     """
     classified = classify(extract, groups)
     return join_by_key(
@@ -112,7 +125,7 @@ def preprocess_extract(
         demographics(classified),
         "hadm_id",
         spread_by=["charttime"],
-        hot_from=classified,
+        stage_facts=True,
         broadcast_bytes=broadcast_bytes,
     )
 
@@ -128,18 +141,15 @@ def feature_table(
     readings are narrowed at the scan, tagged by a broadcast of the codes known
     to the item dictionary (no more rows than the code lists have), averaged
     with map-side partial sums, and only complete observations meet the
-    demographics, which come from the two small tables.
+    demographics, which come from the two small tables. A code that the dictionary lists n times makes
+    its readings count n times, as a join with the dictionary does.
     """
     groups = code_lists(text)
+    codes = all_codes(groups)
+    listed = tables.d_items.where(F.col("itemid").isin(codes)).groupBy("itemid")
     known = code_dimension(tables.chartevents.sparkSession, text).join(
-        tables.d_items, "itemid", "left_semi"
-    )
-    readings = valid_readings(tables.chartevents, all_codes(groups)).join(
-        F.broadcast(known), "itemid"
-    )
-    return join_demographics(
-        complete_vitals(pivot_vitals(readings)),
-        tables,
-        hot_from=tables.chartevents,
-        broadcast_bytes=broadcast_bytes,
+        listed.agg(F.count(F.lit(1)).alias("times")), "itemid"
     )
+    readings = valid_readings(tables.chartevents, codes).join(F.broadcast(known), "itemid")
+    wide = pivot_vitals(readings, weight=F.col("times"))
+    return join_demographics(complete_vitals(wide), tables, broadcast_bytes)

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from dataclasses import replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pulseframe.operators.codes import all_codes, code_lists
@@ -20,6 +20,7 @@ from pulseframe.sources.tables import read_table
 UNLISTED_CODE = 999  # in the dictionary, in no group
 UNKNOWN_CODE = 442  # not even in the dictionary
 HOT_ADMISSION = 5
+REPEATED_CODE = 51
 EVENT_CODES = {"click": 51, "view": 8368, "signup": 52, "purchase": 211, "error": UNLISTED_CODE}
 
 
@@ -52,20 +53,21 @@ def dictionary(spark: SparkSession, base: str) -> DataFrame:
     )
 
 
-def _line_readings(lines: DataFrame) -> DataFrame:
+def _line_readings(lines: DataFrame, every: str = "year", has_rate: Column | None = None) -> DataFrame:
+    """Readings at the start of `every` period; heart rates where `has_rate` holds, by default all."""
     line, part = F.col("l_linenumber"), F.col("l_partkey")
     groups = code_lists()
     itemid = (
         F.when(line.isin(1, 2), _pick(groups["Systolic BP"], part))
         .when(line.isin(3, 4), _pick(groups["Diastolic BP"], part))
         .when(line == 5, _pick(groups["MAP"], part))
-        .when(line == 6, _pick(groups["Heart Rate"], part))
+        .when((line == 6) & (F.lit(True) if has_rate is None else has_rate), _pick(groups["Heart Rate"], part))
         .otherwise(_pick([UNLISTED_CODE, UNKNOWN_CODE], part))
     )
     return lines.select(
         F.col("l_orderkey").alias("hadm_id"),
         itemid.alias("itemid"),
-        F.date_trunc("year", "l_shipdate").alias("charttime"),
+        F.date_trunc(every, "l_shipdate").alias("charttime"),
         F.col("l_quantity").cast("int").cast("string").alias("value"),
         F.when(F.col("l_suppkey") % 13 != 5, F.col("l_quantity")).alias("valuenum"),
         F.when(line == 6, "bpm").otherwise("mmHg").alias("valueuom"),
@@ -99,6 +101,23 @@ def skewed_order_history(spark: SparkSession, base: str) -> ClinicalTables:
     return replace(tables, chartevents=_line_readings(lines.withColumn("l_orderkey", key)))
 
 
+def late_skewed_order_history(spark: SparkSession, base: str) -> ClinicalTables:
+    """One admission has a twentieth of the readings but nearly all heart rates, so most complete observations."""
+    tables = order_history(spark, base)
+    moved = (F.col("l_partkey") + F.col("l_suppkey")) % 20 == 0
+    key = F.when(moved, HOT_ADMISSION).otherwise(F.col("l_orderkey"))
+    few = (F.col("l_orderkey") == HOT_ADMISSION) | (F.col("l_orderkey") % 16 == 0)
+    lines = read_table(spark, base, "lineitem").withColumn("l_orderkey", key)
+    return replace(tables, chartevents=_line_readings(lines, "month", few))
+
+
+def repeated_dictionary(spark: SparkSession, base: str) -> ClinicalTables:
+    """Order history in whose dictionary one listed code stands twice."""
+    tables = order_history(spark, base)
+    again = tables.d_items.where(F.col("itemid") == REPEATED_CODE)
+    return replace(tables, d_items=tables.d_items.union(again))
+
+
 def event_log(spark: SparkSession, base: str) -> ClinicalTables:
     """Events of a user in a week form one observation."""
     people = patients(spark, base)

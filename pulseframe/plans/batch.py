@@ -11,9 +11,11 @@ from pyspark.sql import DataFrame
 from pulseframe.operators.codes import all_codes, code_lists
 from pulseframe.operators.extract import FEATURE_COLUMNS, clinical_extract
 from pulseframe.operators.model import ForestSettings, feature_importances, train_and_evaluate
+from pulseframe.operators.metrics import regression_metrics
 from pulseframe.operators.quality import require_columns, validate
 from pulseframe.operators.vitals import feature_table, preprocess_extract
 from pulseframe.schemas import (
+    BATCH_LABEL,
     CLINICAL_SCHEMAS,
     ITEM_CODE_TEXT,
     OBSERVATION_KEY,
@@ -56,12 +58,14 @@ def run_batch(
     features = stage(features, "features")
     validate(features, [*OBSERVATION_KEY, *REQUIRED_VITALS, "gender", "age"], "features")
     result = train_and_evaluate(features, settings, handle_invalid)
+    # Written once for the file, the metrics and the caller; vectors are not needed any more.
+    predictions = stage(result.predictions.drop("features"), "predictions")
     if output is not None:
-        write_predictions(result.predictions, output)
+        write_predictions(predictions, output)
     return BatchResult(
         features,
         result.model,
-        result.predictions,
-        result.metrics,
+        predictions,
+        regression_metrics(predictions, BATCH_LABEL),
         feature_importances(features.sparkSession, result.model),
     )

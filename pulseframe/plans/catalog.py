@@ -11,12 +11,12 @@ from collections.abc import Sequence
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.storagelevel import StorageLevel
 
 from pulseframe.functions import age_in_years
 from pulseframe.operators import extract, metrics, model, quality, split, vitals
 from pulseframe.operators.codes import all_codes, code_dimension, code_lists
 from pulseframe.plans import analogs, monitoring
+from pulseframe.plans.batch import run_batch
 from pulseframe.schemas import (
     BATCH_FEATURES,
     BATCH_LABEL,
@@ -31,11 +31,11 @@ from pulseframe.schemas import (
 from pulseframe.sinks.files import preview, read_batches, write_csv, write_predictions
 from pulseframe.sources.jdbc import modulus_slices, range_slices, slice_number
 from pulseframe.sources.tables import read_table, stream_table
-from pulseframe.staging import stage, work_dir
+from pulseframe.staging import persisted, stage, work_dir
 from pulseframe.streaming.models import ModelStore
 from pulseframe.streaming.parse import parse_messages
 from pulseframe.streaming.runs import drain, named_writer
-from pulseframe.streaming.scoring import counting_handler
+from pulseframe.streaming.scoring import WAITED, StreamTraining, counting_handler, scoring_handler
 
 GROUPS = code_lists()
 CODES = all_codes(GROUPS)
@@ -82,6 +82,11 @@ def extract_filtered(spark, base):
     return _dated(extract.clinical_extract(analogs.order_history(spark, base), CODES))
 
 
+def extract_topn_most(spark, base):
+    """A limit near the size of the table."""
+    return _dated(extract.clinical_extract(analogs.order_history(spark, base), CODES, limit=30_000))
+
+
 def extract_topn(spark, base):
     return _dated(extract.clinical_extract(analogs.order_history(spark, base), CODES, limit=1000))
 
@@ -145,7 +150,7 @@ def vitals_with_demographics(spark, base):
     tables = analogs.order_history(spark, base)
     classified = _classified(tables)
     return _plain(
-        vitals.join_demographics(vitals.pivot_vitals(classified), tables, hot_from=classified)
+        vitals.join_demographics(vitals.pivot_vitals(classified), tables)
     )
 
 
@@ -181,9 +186,28 @@ def skewed_features(spark, base):
     return _plain(vitals.feature_table(tables, broadcast_bytes=0))
 
 
+def late_skew_features(spark, base):
+    """An admission that is rare among the readings and frequent among the complete observations."""
+    tables = analogs.late_skewed_order_history(spark, base)
+    return _plain(vitals.feature_table(tables, broadcast_bytes=0))
+
+
+def repeated_dictionary(spark, base):
+    """A code listed twice counts its readings twice, in both forms of the feature table."""
+    tables = analogs.repeated_dictionary(spark, base)
+    rows = extract.clinical_extract(tables, CODES).select(extract.FEATURE_COLUMNS)
+    joined = vitals.preprocess_extract(stage(rows, "extract"), GROUPS)
+    direct = vitals.feature_table(tables)
+    form = F.lit("direct").alias("form")
+    return _plain(direct.select(form, "*").union(joined.select(F.lit("joined"), *direct.columns)))
+
+
 def persisted_features(spark, base):
-    features = vitals.feature_table(analogs.order_history(spark, base))
-    return _plain(features.persist(StorageLevel.MEMORY_AND_DISK))
+    """The feature table kept for two consumers, a check and a copy, and released."""
+    with persisted(vitals.feature_table(analogs.order_history(spark, base))) as features:
+        quality.validate(features, OBSERVATION_KEY, "features")
+        copy = stage(features, "features")
+    return _plain(copy)
 
 
 def feature_sample(spark, base):
@@ -209,6 +233,16 @@ def quality_report(spark, base):
     return parts[0].union(parts[1]).union(parts[2]).union(parts[3])
 
 
+def validated_counts(spark, base):
+    """Row counts of the four clinical tables, each checked for columns and rows."""
+    tables = analogs.order_history(spark, base)
+    counts = [
+        (name, quality.validate(getattr(tables, name), schema.names, name))
+        for name, schema in CLINICAL_SCHEMAS.items()
+    ]
+    return spark.createDataFrame(counts, "name string, n_rows long")
+
+
 def repeated_admissions(spark, base):
     """Patients with more than one admission: keys that do not identify a row."""
     return quality.repeated_keys(analogs.order_history(spark, base).admissions, "subject_id")
@@ -294,6 +328,57 @@ def rf_coverage(spark, base):
     )
 
 
+CONSTANT = model.ForestSettings(num_trees=1, max_depth=0, bootstrap=False)
+# More bins than the feature has values: the split is the exact best one.
+STUMP = model.ForestSettings(num_trees=1, max_depth=1, bootstrap=False, feature_subset="all", max_bins=256)
+
+
+def _constant(spark, base):
+    features = stage(_weekly(spark, base), "features")
+    return model.train_and_evaluate(features, CONSTANT, handle_invalid="skip")
+
+
+def rf_constant(spark, base):
+    """A forest of depth 0 predicts the training mean."""
+    scored = _constant(spark, base).predictions
+    return _plain(scored.select(*OBSERVATION_KEY, BATCH_LABEL, "prediction"))
+
+
+def rf_constant_metrics(spark, base):
+    return _plain(_constant(spark, base).metrics)
+
+
+def _stump(spark, base):
+    """Depth 1 on one feature with few values: the split that leaves the least variance."""
+    return model.train_dual_target(
+        _labelled(spark, base), STUMP, keys=["event_id"], features=["HR"]
+    )
+
+
+def rf_stump(spark, base):
+    return _plain(_stump(spark, base).predictions.select("event_id", "Predicted_SBP"))
+
+
+def dual_target_stump(spark, base):
+    return _plain(
+        _stump(spark, base).predictions.select("event_id", "Predicted_SBP", "Predicted_DBP")
+    )
+
+
+def rf_stump_importance(spark, base):
+    return model.feature_importances(spark, _stump(spark, base).model, ["HR"])
+
+
+def batch_job(spark, base):
+    """Rows after each step of the whole job; the predictions are counted in the file."""
+    path = work_dir(spark, "batch-job")
+    result = run_batch(analogs.event_log(spark, base), path, CONSTANT, handle_invalid="skip")
+    written = spark.read.schema("label double, prediction double").csv(path, header=True)
+    return result.features.agg(F.count(F.lit(1)).alias("n_features")).join(
+        written.agg(F.count(F.lit(1)).alias("n_predictions"), F.count_distinct("prediction").alias("n_values"))
+    )
+
+
 def model_roundtrip(spark, base):
     """Held-out rows on which a saved and reloaded model predicts the same."""
     result = _forest(spark, base)
@@ -373,6 +458,14 @@ def csv_roundtrip(spark, base):
     return _plain(spark.read.schema(features.schema).csv(path, header=True))
 
 
+def single_file_csv(spark, base):
+    """Rows and files of a CSV written through one task."""
+    path = work_dir(spark, "csv")
+    write_csv(_weekly(spark, base), path, single_file=True)
+    back = spark.read.csv(path, header=True).select(F.input_file_name().alias("file"))
+    return back.agg(F.count(F.lit(1)).alias("n_rows"), F.count_distinct("file").alias("n_files"))
+
+
 def predictions_file(spark, base):
     """The predictions file as written, read back."""
     train, test = split.key_split(stage(_weekly(spark, base), "features"), OBSERVATION_KEY)
@@ -450,18 +543,20 @@ def stream_resumed(spark, base):
     return _counted_stream(spark, base, runs=2)
 
 
-def _monitored(spark, base):
+def _monitored(spark, base, train_with=StreamTraining(), streams=(_message_stream,)):
+    """Both outputs after `streams` have run one after another."""
     root = work_dir(spark, "stream-scored")
-    drain(
-        monitoring.monitor(
-            _message_stream(spark, base),
-            _query_name(root),
-            root,
-            ModelStore(f"{root}/model"),
-            keep=["event_id"],
-            train_with=model.ForestSettings(),
+    for n, messages in enumerate(streams):
+        drain(
+            monitoring.monitor(
+                messages(spark, base),
+                f"{_query_name(root)}-{n}",
+                root,
+                ModelStore(f"{root}/model"),
+                keep=["event_id"],
+                train_with=train_with,
+            )
         )
-    )
     scored = read_batches(
         spark,
         f"{root}/scored",
@@ -496,6 +591,47 @@ def stream_coverage(spark, base):
     )
 
 
+def stream_scored_constant(spark, base):
+    """Scored by forests of depth 0: the means of the labelled messages."""
+    scored, _ = _monitored(spark, base, StreamTraining(CONSTANT))
+    return _plain(scored.select("event_id", "Predicted_SBP", "Predicted_DBP"))
+
+
+def stream_waited(spark, base):
+    """A first batch without labels waits for the model; in the end every message has one outcome."""
+    root = work_dir(spark, "stream-parts")
+    messages = analogs.sensor_messages(read_table(spark, base, "events"))
+    for part in (0, 1):
+        messages.where((F.col("event_id") % 10 != 0).cast("int") == part).write.parquet(f"{root}/in/{part}")
+
+    stream = spark.readStream.schema(messages.schema).option("maxFilesPerTrigger", 1)
+    writer_root = f"{root}/job"
+    for part in (0, 1):
+        handler = scoring_handler(
+            f"{writer_root}/scored",
+            f"{writer_root}/rejected",
+            ModelStore(f"{root}/model"),
+            ["event_id"],
+            StreamTraining(CONSTANT),
+        )
+        # Batch numbers go on where the first part's stopped.
+        def shifted(batch, batch_id, handle=handler, first=1000 * part):
+            handle(batch, first + batch_id)
+
+        parsed = parse_messages(stream.parquet(f"{root}/in/{part}"), ["event_id"])
+        drain(named_writer(parsed, f"{_query_name(root)}-{part}", f"{root}/checkpoints").foreachBatch(shifted))
+    scored = spark.read.parquet(f"{writer_root}/scored")
+    rejected = spark.read.parquet(f"{writer_root}/rejected")
+    both = scored.select("event_id", F.lit("scored").alias("outcome"), (F.col("batch_id") == WAITED).alias("waited")).union(
+        rejected.select("event_id", F.lit("rejected"), F.lit(False))
+    )
+    return both.groupBy("outcome").agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.count_distinct("event_id").alias("n_messages"),
+        F.count_if("waited").alias("n_waited"),
+    )
+
+
 def _scored_inline(spark, base, trained):
     root = work_dir(spark, "stream-inline")
     scored, _ = monitoring.scored_stream(_message_stream(spark, base), trained, ["event_id"])
@@ -532,6 +668,7 @@ QUERIES = {
         chart_extract,
         extract_filtered,
         extract_topn,
+        extract_topn_most,
         classify_measurement,
         classify_by_dimension,
         vitals_pivot,
@@ -545,10 +682,13 @@ QUERIES = {
         weekly_features,
         skewed_extract,
         skewed_features,
+        late_skew_features,
+        repeated_dictionary,
         persisted_features,
         feature_sample,
         step_counts,
         quality_report,
+        validated_counts,
         repeated_admissions,
         hash_split_counts,
         random_split_cover,
@@ -559,6 +699,11 @@ QUERIES = {
         rf_predictions,
         rf_feature_importance,
         rf_coverage,
+        rf_constant,
+        rf_constant_metrics,
+        rf_stump,
+        rf_stump_importance,
+        batch_job,
         model_roundtrip,
         json_parse,
         rejected_messages,
@@ -566,7 +711,9 @@ QUERIES = {
         dual_target_predictions,
         dual_target_metrics,
         dual_target_coverage,
+        dual_target_stump,
         csv_roundtrip,
+        single_file_csv,
         predictions_file,
         jdbc_slices,
         stream_parse,
@@ -575,6 +722,8 @@ QUERIES = {
         stream_scored,
         stream_rejected,
         stream_coverage,
+        stream_scored_constant,
+        stream_waited,
         stream_scored_inline,
         stream_agrees_with_batch,
     )

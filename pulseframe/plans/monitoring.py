@@ -8,13 +8,13 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import DataStreamWriter
 
-from pulseframe.operators.model import ForestSettings, score_sensors
+from pulseframe.operators.model import score_sensors
 from pulseframe.operators.quality import split_complete
 from pulseframe.schemas import SENSOR_FEATURES
 from pulseframe.streaming.models import ModelStore
 from pulseframe.streaming.parse import parse_messages
 from pulseframe.streaming.runs import named_writer
-from pulseframe.streaming.scoring import scoring_handler
+from pulseframe.streaming.scoring import StreamTraining, scoring_handler
 
 
 def scored_stream(
@@ -31,10 +31,16 @@ def monitor(
     root: str,
     models: ModelStore,
     keep: Sequence[str] = (),
-    train_with: ForestSettings | None = None,
+    train_with: StreamTraining | None = None,
 ) -> DataStreamWriter:
-    """Writer that scores each micro-batch into `root`/scored and `root`/rejected."""
-    handler = scoring_handler(f"{root}/scored", f"{root}/rejected", models, keep, train_with)
+    """Writer that scores each micro-batch into `root`/scored and `root`/rejected.
+
+    In the steady state a model trained on tables is published beforehand; `train_with` is for a start
+    without one.
+    """
+    handler = scoring_handler(
+        f"{root}/scored", f"{root}/rejected", models, keep, train_with, f"{root}/waiting"
+    )
     return named_writer(parse_messages(messages, keep), name, f"{root}/checkpoints").foreachBatch(
         handler
     )

@@ -6,12 +6,17 @@ their coverage queries do.
 
 from __future__ import annotations
 
-from pulseframe.operators.codes import all_codes, code_lists
-from pulseframe.operators.extract import EXTRACT_COLUMNS
-from pulseframe.schemas import ITEM_CODE_TEXT
-
-_GROUPS = code_lists()
-_CODES = ", ".join(map(str, all_codes(_GROUPS)))
+# Fixed values, written out here so that they do not come from the code under test.
+_GROUPS = {
+    "Systolic BP": [6, 51, 455, 6701, 220050, 220179],
+    "Diastolic BP": [8364, 8368, 8440, 8441, 8555, 220051, 220180],
+    "MAP": [52, 456, 6702, 220052, 220181],
+    "Heart Rate": [211, 220045],
+}
+_CODES = ", ".join(str(code) for codes in _GROUPS.values() for code in codes)
+_EXTRACT = (
+    "gender dob dod hadm_id admittime dischtime itemid charttime value valuenum valueuom error label unitname"
+).split()
 
 
 def _in(name):
@@ -60,6 +65,21 @@ _SKEWED_HISTORY = _ORDER_HISTORY.replace(
     "SELECT CASE WHEN (l_partkey + l_suppkey) % 3 = 0 THEN 5 ELSE l_orderkey END AS hadm_id",
 )
 
+_MOVED = "(l_partkey + l_suppkey) % 20 = 0"
+_LATE_KEY = f"CASE WHEN {_MOVED} THEN 5 ELSE l_orderkey END"
+_LATE_HISTORY = (
+    _ORDER_HISTORY.replace("SELECT l_orderkey AS hadm_id", f"SELECT {_LATE_KEY} AS hadm_id")
+    .replace("date_trunc('year', l_shipdate)", "date_trunc('month', l_shipdate)")
+    .replace(
+        "WHEN l_linenumber = 6 THEN ([",
+        f"WHEN l_linenumber = 6 AND ({_LATE_KEY} = 5 OR {_LATE_KEY} % 16 = 0) THEN ([",
+    )
+)
+
+_TWICE_LISTED = _ORDER_HISTORY.replace("d_items AS (", "single_items AS (").replace(
+    "admissions AS (", "d_items AS (SELECT * FROM single_items UNION ALL SELECT * FROM single_items WHERE itemid = 51),\nadmissions AS ("
+)
+
 _EVENT_LOG = f"""{_PATIENTS}, {_D_ITEMS},
 admissions AS (
   SELECT subject_id, subject_id AS hadm_id,
@@ -111,6 +131,7 @@ features AS (
   FROM wide JOIN demo USING (hadm_id) WHERE {_COMPLETE})"""
 
 
+_TWICE_COUNTED = _features(_TWICE_LISTED).replace("SEMI JOIN d_items", "JOIN d_items")
 _FEATURE_ROWS = f"SELECT hadm_id, charttime, {_ROUNDED}, gender, round(age, 6) AS age FROM features"
 _HISTORY_FEATURES = f"{_features(_ORDER_HISTORY)} {_FEATURE_ROWS}"
 _WEEKLY_FEATURES = f"{_features(_EVENT_LOG)} {_FEATURE_ROWS}"
@@ -131,7 +152,7 @@ scored AS (
 
 _DATED = ", ".join(
     f"CAST({c} AS DATE) AS {c}" if c in ("dob", "dod", "admittime", "dischtime", "charttime") else c
-    for c in EXTRACT_COLUMNS
+    for c in _EXTRACT
 )
 
 _JOINED = """patients JOIN admissions USING (subject_id)
@@ -149,6 +170,31 @@ _READINGS = """readings AS (
 
 
 
+_TRAINED = f"""{_SPLIT},
+usable AS (SELECT * FROM parts WHERE age IS NOT NULL),
+scored AS (
+  SELECT hadm_id, charttime, systolic_bp AS y,
+         (SELECT avg(systolic_bp) FROM usable WHERE training) AS p
+  FROM usable WHERE NOT training)"""
+
+
+def _stump(target):
+    """Cuts between neighbouring values, the one that explains most, and the means on both sides."""
+    return f"""{target}_cuts AS (
+  SELECT v, (v + lead(v) OVER (ORDER BY v)) / 2 AS cut,
+         sum(n) OVER w AS nl, sum(s) OVER w AS sl, sum(n) OVER () AS nt, sum(s) OVER () AS st
+  FROM (SELECT HR AS v, count(*) AS n, sum({target}) AS s FROM trained GROUP BY HR)
+  WINDOW w AS (ORDER BY v)),
+{target}_best AS (
+  SELECT cut, sl / nl AS low, (st - sl) / (nt - nl) AS high
+  FROM {target}_cuts WHERE cut IS NOT NULL
+  ORDER BY sl * sl / nl + (st - sl) * (st - sl) / (nt - nl) DESC LIMIT 1)"""
+
+
+def _stump_score(target):
+    return f"""round((SELECT CASE WHEN HR <= cut THEN low ELSE high END FROM {target}_best), 6) AS Predicted_{target}"""
+
+
 def _as_doubles(names):
     return ", ".join(f"round(CAST({name} AS DOUBLE), 6) AS {name}" for name in names)
 
@@ -158,7 +204,7 @@ SELECT event_id, {_as_doubles(["PTT", "PIR", "HR", "SBP", "DBP"])} FROM readings
 
 _REJECTED = "SELECT event_id, 'PTT,PIR,HR' AS missing FROM events WHERE event_type = 'error'"
 
-_SPEC = ", ".join(f"('{name}', '{codes}')" for name, codes in ITEM_CODE_TEXT.items())
+_SPEC = ", ".join(f"('{name}', '{','.join(map(str, codes))}')" for name, codes in _GROUPS.items())
 
 _SUMMARIES = {
     "patients": ("customer", "subject_id, gender, dob, dod"),
@@ -167,7 +213,56 @@ _SUMMARIES = {
     "d_items": ("(SELECT DISTINCT p_partkey % 21 FROM part)", "itemid, label, unitname"),
 }
 
+_STUMPS = f"""WITH {_READINGS},
+labelled AS (
+  SELECT event_id, CAST(HR AS DOUBLE) AS HR, CAST(SBP AS DOUBLE) AS SBP, CAST(DBP AS DOUBLE) AS DBP,
+         {_bucket(["event_id"])} < 8000 AS training
+  FROM readings WHERE SBP IS NOT NULL),
+trained AS (SELECT * FROM labelled WHERE training),
+{_stump("SBP")},
+{_stump("DBP")}"""
+
+_TABLES = {"patients": "customer", "admissions": "orders", "chartevents": "lineitem"}
+
 ORACLE_SQL = {
+    "late_skew_features": f"{_features(_LATE_HISTORY)} {_FEATURE_ROWS}",
+    "repeated_dictionary": f"""{_TWICE_COUNTED}
+SELECT form, {_FEATURE_ROWS.removeprefix("SELECT ").removesuffix(" FROM features")}
+FROM features, (VALUES ('direct'), ('joined')) forms(form)""",
+    "extract_topn_most": f"""WITH {_ORDER_HISTORY} SELECT {_DATED} FROM {_JOINED} WHERE {_VALID}
+ORDER BY hadm_id, charttime, itemid, gender NULLS FIRST, dob NULLS FIRST, dod NULLS FIRST,
+  admittime, dischtime, value, valuenum, valueuom, error, label, unitname LIMIT 30000""",
+    "validated_counts": " UNION ALL ".join(
+        [f"SELECT '{name}' AS name, count(*) AS n_rows FROM {table}" for name, table in _TABLES.items()]
+        + ["SELECT 'd_items' AS name, count(DISTINCT p_partkey % 21) AS n_rows FROM part"]
+    ),
+    "rf_constant": f"""{_TRAINED}
+SELECT hadm_id, charttime, round(y, 6) AS systolic_bp, round(p, 6) AS prediction FROM scored""",
+    "rf_constant_metrics": f"""{_TRAINED}
+SELECT count(*) AS n_rows, round(avg(abs(y - p)), 6) AS mae,
+       round(sqrt(avg((y - p) * (y - p))), 6) AS rmse,
+       round(1 - sum((y - p) * (y - p)) / (var_pop(y) * count(*)), 6) AS r2
+FROM scored""",
+    "rf_stump": f"{_STUMPS} SELECT event_id, {_stump_score('SBP')} FROM labelled WHERE NOT training",
+    "dual_target_stump": f"""{_STUMPS}
+SELECT event_id, {_stump_score("SBP")}, {_stump_score("DBP")} FROM labelled WHERE NOT training""",
+    "rf_stump_importance": "SELECT 1 AS rank, 'HR' AS feature, CAST(1 AS DOUBLE) AS importance",
+    "batch_job": f"""{_features(_EVENT_LOG)},
+parts AS (
+  SELECT *, {_bucket(["hadm_id", "epoch_us(CAST(charttime AS TIMESTAMP))"])} < 8000 AS training FROM features)
+SELECT count(*) AS n_features, count(*) FILTER (NOT training AND age IS NOT NULL) AS n_predictions,
+       CAST(1 AS BIGINT) AS n_values
+FROM parts""",
+    "single_file_csv": f"""{_features(_EVENT_LOG)}
+SELECT count(*) AS n_rows, CAST(1 AS BIGINT) AS n_files FROM features""",
+    "stream_scored_constant": f"""WITH {_READINGS}
+SELECT event_id, round((SELECT avg(SBP) FROM readings), 6) AS Predicted_SBP,
+       round((SELECT avg(DBP) FROM readings), 6) AS Predicted_DBP
+FROM readings WHERE PTT IS NOT NULL""",
+    "stream_waited": """SELECT CASE WHEN event_type = 'error' THEN 'rejected' ELSE 'scored' END AS outcome,
+       count(*) AS n_rows, count(DISTINCT event_id) AS n_messages,
+       count(*) FILTER (event_type <> 'error' AND event_id % 10 = 0) AS n_waited
+FROM events GROUP BY 1""",
     "item_groups": f"""WITH {_ORDER_HISTORY},
 spec(measurement, codes) AS (VALUES {_SPEC}),
 groups AS (

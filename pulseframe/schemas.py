@@ -78,7 +78,7 @@ ITEM_CODE_TEXT = {
 }
 OTHER = "Other"
 
-# Vital sign -> column of the wide table.
+# Names of the wide table's columns, vital sign -> column of the wide table.
 VITAL_COLUMNS = {
     "Systolic BP": "systolic_bp",
     "Diastolic BP": "diastolic_bp",
@@ -87,6 +87,7 @@ VITAL_COLUMNS = {
 }
 REQUIRED_VITALS = ["systolic_bp", "diastolic_bp", "heart_rate"]
 
+# Key, label and features of the batch model.
 OBSERVATION_KEY = ["hadm_id", "charttime"]
 BATCH_LABEL = "systolic_bp"
 BATCH_FEATURES = ["diastolic_bp", "heart_rate", "gender_index", "age"]

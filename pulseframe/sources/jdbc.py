@@ -94,13 +94,37 @@ def read_clinical_jdbc(
     spark: SparkSession,
     connection: JdbcConnection,
     slices: Mapping[str, Sequence[str]] | None = None,
+    codes: Sequence[int] | None = None,
 ) -> ClinicalTables:
     """The four clinical tables; `slices` holds WHERE clauses for those read in parallel.
 
-    Spark cannot know a database table's size: see staging.land.
+    With `codes`, only valid readings of these item codes are read. Spark cannot know a database
+    table's size: see staging.land.
     """
-    slices, tables = slices or {}, {}
-    for name, schema in CLINICAL_SCHEMAS.items():
-        raw = read_jdbc(spark, connection, name, slices.get(name, WHOLE))
-        tables[name] = raw.select([F.col(f.name).cast(f.dataType) for f in schema.fields])
-    return ClinicalTables(**tables)
+    slices = slices or {}
+    raw = {
+        name: read_jdbc(spark, connection, name, slices.get(name, WHOLE)) for name in CLINICAL_SCHEMAS
+    }
+    return typed_tables(raw, codes)
+
+
+def typed_tables(raw: Mapping[str, DataFrame], codes: Sequence[int] | None = None) -> ClinicalTables:
+    """The tables in the declared types, whatever types the source has.
+
+    A filter on a cast column stays in Spark, so readings are filtered before their columns are cast:
+    then the conditions are part of each slice's query. A code column of text is compared as text.
+    """
+    tables = dict(raw)
+    if codes is not None:
+        readings = raw["chartevents"]
+        kind = readings.schema["itemid"].dataType
+        listed = [F.lit(code).cast(kind) for code in codes]
+        tables["chartevents"] = readings.where(
+            F.col("itemid").isin(listed) & F.col("error").isNull() & F.col("valuenum").isNotNull()
+        )
+    return ClinicalTables(
+        **{
+            name: tables[name].select([F.col(f.name).cast(f.dataType) for f in schema.fields])
+            for name, schema in CLINICAL_SCHEMAS.items()
+        }
+    )

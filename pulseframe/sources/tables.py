@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pulseframe.schemas import CLINICAL_SCHEMAS, ClinicalTables
 
+# What a file stream reads at a time by default; how much trains a model is a setting of its own.
 BATCH_BYTES = 64 << 30
 
 

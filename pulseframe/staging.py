@@ -14,6 +14,9 @@ from pulseframe.schemas import ClinicalTables
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
+# Temporary folders of local-mode sessions, by application.
+_local_roots: dict[str, str] = {}
+
 
 def work_dir(spark: SparkSession, purpose: str) -> str:
     """A new path under the folder the cluster shares between its machines.
@@ -23,10 +26,12 @@ def work_dir(spark: SparkSession, purpose: str) -> str:
     """
     root = spark.conf.get(CHECKPOINT_DIR, None)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        context = spark.sparkContext
+        if not context.master.startswith("local"):
             raise ValueError(f"set {CHECKPOINT_DIR} to a folder all executors can reach")
-        root = tempfile.mkdtemp(prefix="pulseframe-")
-        spark.conf.set(CHECKPOINT_DIR, root)
+        root = _local_roots.get(context.applicationId)
+        if root is None:
+            root = _local_roots[context.applicationId] = tempfile.mkdtemp(prefix="pulseframe-")
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
@@ -42,6 +47,23 @@ def stage(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder, in whatever file system it is."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+@contextmanager
+def staged(df: DataFrame, purpose: str) -> Iterator[DataFrame]:
+    """As `stage`, but what was written is deleted when the block ends."""
+    spark, path = df.sparkSession, work_dir(df.sparkSession, purpose)
+    try:
+        df.write.parquet(path)
+        yield spark.read.schema(df.schema).parquet(path)
+    finally:
+        remove(spark, path)
+
+
 @contextmanager
 def persisted(df: DataFrame) -> Iterator[DataFrame]:
     """`df` kept in the executors' memory or on their disks until the block ends.

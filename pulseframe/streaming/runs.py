@@ -44,9 +44,12 @@ def wait_until_stopped(query: StreamingQuery) -> None:
         query.stop()
 
 
-def records_per_batch(query: StreamingQuery) -> dict[int, int]:
+def recent_records_per_batch(query: StreamingQuery) -> dict[int, int]:
     """Input rows of the recent batches, from Spark's own progress reports: no extra job.
 
+    Spark keeps about the last hundred (spark.sql.streaming.numRecentProgressUpdates); counting_handler
+    counts every batch of a long run.
+
     A foreachBatch handler that reads its batch several times without persisting
     it is reported with a multiple.
     """

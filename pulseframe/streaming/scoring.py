@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
@@ -12,7 +14,7 @@ from pulseframe.operators.model import ForestSettings, fit, score_sensors, senso
 from pulseframe.operators.quality import split_complete
 from pulseframe.schemas import SENSOR_FEATURES, SENSOR_TARGETS
 from pulseframe.sinks.files import write_batch
-from pulseframe.staging import persisted
+from pulseframe.staging import persisted, remove
 from pulseframe.streaming.models import ModelStore
 
 BatchHandler = Callable[[DataFrame, int], None]
@@ -45,35 +47,78 @@ def report_handler(
     return handle
 
 
+@dataclass(frozen=True)
+class StreamTraining:
+    """How a stream trains the model it lacks.
+
+    A batch trains if it has `least_rows` labelled readings; until then usable readings wait. Of more than
+    `most_rows` about that many train, chosen by a hash of the reading: the bound on one fit.
+    """
+
+    settings: ForestSettings = ForestSettings()
+    least_rows: int = 100
+    most_rows: int = 10_000_000
+
+    def model_from(self, usable: DataFrame) -> PipelineModel | None:
+        labelled, _ = split_complete(usable, SENSOR_TARGETS)
+        rows = labelled.count()
+        if rows < max(self.least_rows, 1):
+            return None
+        if rows > self.most_rows:
+            place = F.pmod(F.xxhash64(*SENSOR_FEATURES, *SENSOR_TARGETS), F.lit(1 << 30))
+            labelled = labelled.where(place < int(self.most_rows / rows * (1 << 30)))
+        return fit(sensor_pipeline(self.settings), labelled.select(*SENSOR_FEATURES, *SENSOR_TARGETS), self.settings)
+
+
+#: Batch number under which readings that waited for a model are scored.
+WAITED = -1
+
+
 def scoring_handler(
     out: str,
     rejected: str,
     models: ModelStore,
     keep: Sequence[str] = (),
-    train_with: ForestSettings | None = None,
+    train_with: StreamTraining | None = None,
+    waiting: str | None = None,
 ) -> BatchHandler:
     """Scores both pressures of each usable reading into `out`.
 
-    The rest goes to `rejected` with the names of what it lacks, so every
-    record ends up in exactly one of the two. With `train_with`, the first
-    batch that has labelled readings trains and publishes the model if none is
-    published yet; readings that arrive before any model lack "model".
+    Unusable ones go to `rejected` with the names of what they lack. With `train_with`, a
+    batch with enough labelled readings trains and publishes the model if none is
+    published yet. Usable readings that arrive before any model go to `waiting`, by default a folder
+    beside `rejected`; with the first batch that finds a model they are scored too, as batch WAITED. So
+    every record ends up in exactly one of `out` and `rejected` once there is a model. A
+    version published later is used from the next batch on.
     """
-    loaded: list[PipelineModel] = []
+    waiting = waiting or f"{rejected.rstrip('/')}-waiting"
+    held: dict[str, object] = {"version": None, "model": None, "waited": False}
 
     def current_model(usable: DataFrame) -> PipelineModel | None:
-        if loaded:
-            return loaded[0]
         spark = usable.sparkSession
-        model = models.find(spark)
-        if model is None and train_with is not None:
-            labelled, _ = split_complete(usable, SENSOR_TARGETS)
-            if not labelled.isEmpty():
-                model = fit(sensor_pipeline(train_with), labelled)
+        version = models.latest(spark)
+        if version is None and train_with is not None:
+            model = train_with.model_from(usable)
+            if model is not None:
                 models.publish(spark, model)
-        if model is not None:
-            loaded.append(model)
-        return model
+                version = models.latest(spark)
+        if version is not None and version != held["version"]:
+            held.update(version=version, model=models.load(version))
+        return held["model"]
+
+    def score_waiting(model: PipelineModel, like: DataFrame) -> None:
+        """Once per run of the job; writing the same rows again replaces them."""
+        if held["waited"]:
+            return
+        spark = like.sparkSession
+        try:
+            rows = spark.read.schema(like.schema).option("recursiveFileLookup", "true").parquet(waiting)
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+        else:
+            write_batch(score_sensors(model, rows, keep), out, WAITED)
+        held["waited"] = True
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         with persisted(batch) as rows:
@@ -81,11 +126,13 @@ def scoring_handler(
                 return
             usable, unusable = split_complete(rows, SENSOR_FEATURES)
             model = current_model(usable)
+            write_batch(unusable, rejected, batch_id)
             if model is None:
-                waiting = usable.withColumn("missing", F.array(F.lit("model")))
-                write_batch(unusable.unionByName(waiting), rejected, batch_id)
+                write_batch(usable, waiting, batch_id)
             else:
-                write_batch(unusable, rejected, batch_id)
+                # A replayed batch may have waited before: it is scored below.
+                remove(rows.sparkSession, f"{waiting}/batch_id={batch_id}")
+                score_waiting(model, usable)
                 write_batch(score_sensors(model, usable, keep), out, batch_id)
 
     return handle

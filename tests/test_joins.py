@@ -80,7 +80,7 @@ def test_exact_copies_are_spread_too(skewed, dims, shuffled_joins):
     copies = skewed.select("key", F.lit(1).alias("n"))
     numbered = joins.numbered(copies)
     salted = joins.join_by_key(
-        numbered, dims, "key", spread_by=[joins.ROW], hot_from=copies, broadcast_bytes=0
+        numbered, dims, "key", spread_by=[joins.ROW], broadcast_bytes=0
     )
     sizes = _hot_sizes(salted)
     assert sum(sizes) == copies.where("key = 7").count()

@@ -2,6 +2,8 @@ from __future__ import annotations
 
 import math
 
+from dataclasses import replace
+
 import pytest
 from clinical import golden_tables, rows
 from pyspark.ml.evaluation import RegressionEvaluator
@@ -154,12 +156,28 @@ def test_random_split_repeats_on_the_same_partitions(observations):
     assert [part.count() for part in split.random_split(observations)] == first
 
 
-def test_training_set_is_spread(spark, observations):
-    assert model.sized_for_training(observations) is observations
-    copies = spark.range(20_000).coalesce(1).select(F.lit(1.0).alias("x"))
-    spread = model.sized_for_training(copies)
-    sizes = [r["count"] for r in spread.groupBy(F.spark_partition_id()).count().collect()]
-    assert len(sizes) == 8 and max(sizes) < 3_000
+def test_training_rows_are_placed_by_their_values(spark):
+    copies = spark.range(20_000).select(F.lit(1.0).alias("x"), (F.col("id") % 3).alias("y"))
+
+    def places(df):
+        placed = model.placed_for_training(df, 3_000).withColumn("p", F.spark_partition_id())
+        return placed.groupBy("p").agg(F.collect_list("y").alias("ys")).orderBy("p").collect()
+
+    first = places(copies.coalesce(1))
+    assert first == places(copies.repartition(7, F.rand(3)))
+    assert len(first) == 7 and max(len(r.ys) for r in first) < 3_500
+
+
+def test_model_depends_on_rows_and_settings_only(spark, readings):
+    some = replace(FEW, rows_per_task=60)
+    forests = [
+        model.fit(model.sensor_pipeline(some), readings.repartition(n, F.rand(n)), some) for n in (1, 7)
+    ]
+    scores = [
+        [r[t] for r in f.transform(readings).orderBy("PTT", "PIR", "HR").collect() for t in ("Predicted_SBP", "Predicted_DBP")]
+        for f in forests
+    ]
+    assert scores[0] == pytest.approx(scores[1])
 
 
 @pytest.fixture(scope="module")

@@ -201,3 +201,27 @@ def test_work_dir_refuses_local_folders_on_a_cluster():
     first, second = staging.work_dir(local, "x"), staging.work_dir(local, "x")
     assert first != second
     assert first.startswith(local.conf["spark.checkpoint.dir"])
+
+
+def test_filters_reach_a_source_of_other_types(spark, small, tmp_path):
+    """A Parquet stand-in for a database with wide codes, numeric flags and single-precision values."""
+    from pyspark.sql import functions as F
+
+    from pulseframe.operators.codes import all_codes, code_lists
+    from pulseframe.operators.extract import valid_readings
+    from pulseframe.plans.analogs import order_history
+    from pulseframe.sources.jdbc import typed_tables
+
+    tables = order_history(spark, small)
+    path = str(tmp_path / "chartevents")
+    tables.chartevents.withColumns(
+        {"itemid": F.col("itemid").cast("long"), "error": F.col("error").cast("int"), "valuenum": F.col("valuenum").cast("float")}
+    ).write.parquet(path)
+    raw = {name: getattr(tables, name) for name in ("patients", "admissions", "d_items")}
+    codes = all_codes(code_lists())
+    found = typed_tables({**raw, "chartevents": spark.read.parquet(path)}, codes).chartevents
+    assert found.schema["itemid"].dataType == tables.chartevents.schema["itemid"].dataType
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    pushed = next(line for line in plan.splitlines() if "PushedFilters" in line)
+    assert "In(itemid" in pushed and "IsNull(error)" in pushed and "IsNotNull(valuenum)" in pushed
+    assert found.count() == valid_readings(tables.chartevents, codes).count()

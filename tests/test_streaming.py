@@ -12,10 +12,17 @@ from pulseframe.sinks.files import write_batch
 from pulseframe.sources.messages import kafka_options, read_messages
 from pulseframe.streaming.models import ModelStore
 from pulseframe.streaming.parse import parse_messages
-from pulseframe.streaming.runs import drain, named_writer, records_per_batch, start
-from pulseframe.streaming.scoring import counting_handler, report_handler, scoring_handler
+from pulseframe.streaming.runs import drain, named_writer, recent_records_per_batch, start
+from pulseframe.streaming.scoring import (
+    WAITED,
+    StreamTraining,
+    counting_handler,
+    report_handler,
+    scoring_handler,
+)
 
 FEW = model.ForestSettings(num_trees=3, max_depth=2)
+TRAIN = StreamTraining(FEW, least_rows=1)
 
 MESSAGES = [
     ('{"PTT":0.2,"PIR":0.1,"HR":70,"SBP":1,"DBP":2,"x":1}', (0.2, 0.1, 70.0, 1.0, 2.0)),
@@ -95,7 +102,7 @@ def test_named_query_resumes(spark, tmp_path):
         writer = named_writer(stream, "resumes", str(tmp_path / "cp"))
         return drain(writer.foreachBatch(counting_handler(counts)))
 
-    assert sum(records_per_batch(run()).values()) == 4
+    assert sum(recent_records_per_batch(run()).values()) == 4
     run()
     assert rows(spark.read.parquet(counts).select("batch_id", "n_records")) == [(0, 4)]
     _write(spark, folder, [_json(2)] * 3)
@@ -107,7 +114,7 @@ def test_replayed_batch_adds_nothing(spark, tmp_path):
     batch = spark.createDataFrame([(i, _json(i).encode()) for i in range(40)], "event_id long, value binary")
     parsed = parse_messages(batch, ["event_id"])
     out, rejected = str(tmp_path / "out"), str(tmp_path / "rejected")
-    handle = scoring_handler(out, rejected, ModelStore(str(tmp_path / "m")), ["event_id"], FEW)
+    handle = scoring_handler(out, rejected, ModelStore(str(tmp_path / "m")), ["event_id"], TRAIN)
     handle(parsed, 0)
     once = rows(spark.read.parquet(out))
     handle(parsed, 0)
@@ -124,7 +131,7 @@ def test_model_is_trained_once_and_reused(spark, tmp_path):
     _write(spark, folder, [_json(n) for n in range(60)] + ["bad"])
 
     def run():
-        drain(monitor(_stream(spark, folder), "monitor", root, store, ["event_id"], FEW))
+        drain(monitor(_stream(spark, folder), "monitor", root, store, ["event_id"], TRAIN))
         return spark.read.parquet(f"{root}/scored"), spark.read.parquet(f"{root}/rejected")
 
     scored, rejected = run()
@@ -143,13 +150,38 @@ def test_readings_before_any_model_are_kept(spark, tmp_path):
     batch = spark.createDataFrame([(1, unlabelled), (2, "bad")], "event_id long, value string")
     out, rejected = str(tmp_path / "out"), str(tmp_path / "rejected")
     store = ModelStore(str(tmp_path / "m"))
-    handle = scoring_handler(out, rejected, store, ["event_id"], FEW)
+    handle = scoring_handler(out, rejected, store, ["event_id"], TRAIN)
     handle(parse_messages(batch, ["event_id"]), 0)
     kept = spark.read.parquet(rejected).select("event_id", "missing")
-    assert rows(kept, "event_id") == [(1, ["model"]), (2, ["PTT", "PIR", "HR"])]
+    assert rows(kept, "event_id") == [(2, ["PTT", "PIR", "HR"])]
+    assert rows(spark.read.parquet(f"{rejected}-waiting").select("event_id")) == [(1,)]
     assert store.find(spark) is None
-    handle(parse_messages(spark.createDataFrame([(9, _json(3))], "event_id long, value string"), ["event_id"]), 1)
-    assert spark.read.parquet(out).count() == 1
+    labelled = parse_messages(spark.createDataFrame([(9, _json(3))], "event_id long, value string"), ["event_id"])
+    for _ in range(2):
+        handle(labelled, 1)
+        assert rows(spark.read.parquet(out).select("event_id", "batch_id"), "event_id") == [(1, WAITED), (9, 1)]
+    again = scoring_handler(out, rejected, store, ["event_id"], TRAIN)
+    again(labelled, 1)
+    assert rows(spark.read.parquet(out).select("event_id", "batch_id"), "event_id") == [(1, WAITED), (9, 1)]
+
+
+def test_training_waits_for_enough_rows_and_is_bounded(spark):
+    batch = parse_messages(spark.createDataFrame([(_json(n),) for n in range(60)], "value string"))
+    assert StreamTraining(FEW, least_rows=61).model_from(batch) is None
+    assert StreamTraining(FEW, least_rows=60, most_rows=20).model_from(batch) is not None
+
+
+def test_newer_version_is_picked_up(spark, tmp_path):
+    batch = parse_messages(spark.createDataFrame([(n, _json(n)) for n in range(30)], "event_id long, value string"), ["event_id"])
+    store, out = ModelStore(str(tmp_path / "m")), str(tmp_path / "out")
+    handle = scoring_handler(out, str(tmp_path / "rejected"), store, ["event_id"], TRAIN)
+    handle(batch, 0)
+    flat = model.ForestSettings(num_trees=1, max_depth=0, bootstrap=False)
+    store.publish(spark, model.fit(model.sensor_pipeline(flat), batch.drop("event_id"), flat))
+    handle(batch, 1)
+    kinds = spark.read.parquet(out).groupBy("batch_id").agg(F.count_distinct("Predicted_SBP").alias("n"))
+    found = {r.batch_id: r.n for r in kinds.collect()}
+    assert found[1] == 1 < found[0]
 
 
 def test_half_written_model_is_not_used(spark, tmp_path):
@@ -159,7 +191,7 @@ def test_half_written_model_is_not_used(spark, tmp_path):
         spark.createDataFrame([(_json(n),) for n in range(30)], "value string")
     )
     trained = model.sensor_pipeline(FEW).fit(readings)
-    model.save_model(trained, str(tmp_path / "m" / "model"))
+    model.save_model(trained, str(tmp_path / "m" / "model-1-unfinished"))
     assert store.find(spark) is None
     store.publish(spark, trained)
     assert store.find(spark).uid == trained.uid
