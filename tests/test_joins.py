@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pulseframe.operators import joins
 from pulseframe.operators.extract import stays_are_small
 from pulseframe.operators.vitals import feature_table
-from pulseframe.plans.analogs import order_history
+from pulseframe.plans.analogs import late_skewed_order_history, order_history
 
 
 @pytest.fixture(scope="module")
@@ -120,3 +120,27 @@ def test_repeated_patients_are_never_broadcast(spark, small):
     assert not stays_are_small(repeated)
     ours, theirs = feature_table(repeated), feature_table(tables)
     assert rows(ours, "hadm_id", "charttime") == rows(theirs, "hadm_id", "charttime")
+
+
+def test_keys_hot_only_among_the_joined_rows(spark, small, shuffled_joins):
+    """Rare in the raw readings, dominant among the complete observations: spread all the same."""
+    tables = late_skewed_order_history(spark, small)
+    assert joins.frequent_keys(tables.chartevents, "hadm_id") == {}
+    large = feature_table(tables, broadcast_bytes=0)
+    assert rows(large, "hadm_id", "charttime") == rows(feature_table(tables), "hadm_id", "charttime")
+    share = large.where("hadm_id = 5").count() / large.count()
+    sizes = [r["count"] for r in large.groupBy(F.spark_partition_id()).count().collect()]
+    assert share > 0.5 and max(sizes) < 0.6 * sum(sizes) and len(sizes) >= 3
+
+
+def test_share_of_a_hot_key_follows_the_bytes(spark, small):
+    readings = spark.read.parquet(f"{small}/lineitem.parquet")
+    size = joins.estimated_bytes(readings)
+    assert joins.hot_share(readings) == 1 / 8
+    assert joins.hot_share(readings, task_bytes=size // 100) == pytest.approx(0.01, rel=0.1)
+    assert joins.hot_share(readings, task_bytes=0) == 1 / joins.MOST_HOT_KEYS
+
+
+def test_several_keys_in_one_pass(skewed):
+    both = joins.frequent_keys_of(skewed.withColumn("n", F.lit(None).cast("long")), ["key", "n"])
+    assert set(both["key"]) == {7} and both["n"] == {}

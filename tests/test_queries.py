@@ -7,7 +7,13 @@ from compare import difference
 
 import __spark_entry__ as entry
 
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
+from pulseframe.plans.catalog import QUERIES
+from pulseframe.plans.oracle import ORACLE_SQL as SQL
+
+
+def test_all_are_registered():
+    assert QUERIES.items() <= entry.queries().items()
+    assert SQL.items() <= entry.oracle_sql().items()
 
 
 def test_every_sql_has_a_query():

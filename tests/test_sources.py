@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import os
+
 import pytest
 from clinical import golden_tables, rows
 from hypothesis import given, settings
@@ -186,21 +188,28 @@ def test_persisted_leaves_the_callers_cache_alone(spark):
 
 
 def test_work_dir_refuses_local_folders_on_a_cluster():
-    class Conf(dict):
-        def set(self, key, value):
-            self[key] = value
-
     class Session:
         def __init__(self, master):
-            self.conf = Conf()
-            self.sparkContext = type("C", (), {"master": master})
+            self.conf = {}
+            self.sparkContext = type("C", (), {"master": master, "applicationId": f"app-{master}"})
 
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         staging.work_dir(Session("yarn"), "x")
     local = Session("local[2]")
     first, second = staging.work_dir(local, "x"), staging.work_dir(local, "x")
     assert first != second
-    assert first.startswith(local.conf["spark.checkpoint.dir"])
+    assert first.rsplit("/", 1)[0] == second.rsplit("/", 1)[0] and not local.conf
+
+
+def test_staged_tables_are_removed(spark):
+    with staging.staged(spark.range(5), "short") as table:
+        path = table.inputFiles()[0].rsplit("/", 1)[0].removeprefix("file://")
+        assert table.count() == 5 and os.path.isdir(path)
+    assert not os.path.exists(path)
+    with pytest.raises(ZeroDivisionError), staging.staged(spark.range(5), "short") as table:
+        path = table.inputFiles()[0].rsplit("/", 1)[0].removeprefix("file://")
+        raise ZeroDivisionError
+    assert not os.path.exists(path)
 
 
 def test_filters_reach_a_source_of_other_types(spark, small, tmp_path):

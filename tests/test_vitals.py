@@ -158,3 +158,35 @@ def test_validation(spark):
     with pytest.raises(ValueError, match="no rows"):
         quality.validate(df.where("n > 1"), ["n"])
     assert rows(quality.summary(df, "small")) == [("small", 1, 2, "n, s")]
+
+
+def test_key_at_finds_the_running_count(spark):
+    from pulseframe.operators import extract
+
+    counts = spark.createDataFrame([(k * k * 1000, 3) for k in range(-30, 200)], "k long, n long").groupBy("k").agg(F.sum("n").alias("n"))
+    ordered = sorted((r.k, r.n) for r in counts.collect())
+    for rank in (1, 3, 4, 100, 500, sum(n for _, n in ordered)):
+        below = 0
+        for key, n in ordered:
+            if below + n >= rank:
+                break
+            below += n
+        assert extract.key_at(counts, "k", rank) == (key, below)
+    assert extract.key_at(counts, "k", 10_000) == (None, sum(n for _, n in ordered))
+    assert extract.key_at(counts.limit(0), "k", 1) == (None, 0)
+
+
+def test_top_n_sorts_only_the_rest(spark, small):
+    from pulseframe.operators import extract
+    from pulseframe.operators.codes import all_codes, code_lists
+    from pulseframe.plans.analogs import skewed_order_history
+
+    tables = skewed_order_history(spark, small)
+    whole = extract.clinical_extract(tables, all_codes(code_lists()))
+    assert extract.first_in_chart_order(whole, 0).count() == 0
+    ordered = [tuple(r) for r in extract.in_chart_order(whole).collect()]
+    for limit in (7, 700, len(ordered) + 5):
+        first = extract.first_in_chart_order(whole, limit)
+        assert [tuple(r) for r in first.collect()] == ordered[:limit]
+    plan = extract.first_in_chart_order(whole, 7)._jdf.queryExecution().optimizedPlan().toString()
+    assert "hadm_id" in plan and "<" in plan
