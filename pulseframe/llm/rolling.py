@@ -33,7 +33,7 @@ def powers(base: np.uint64, n: int) -> tuple[np.ndarray, np.ndarray]:
     """base**i and base**-i for i < n, at least."""
     known = _powers.get(int(base))
     if known is None or len(known[0]) < n:
-        size = max(1 << 16, 1 << (n - 1).bit_length())
+        size = -(-n // (1 << 18)) << 18
         both = []
         for b in (int(base), pow(int(base), -1, 1 << 64)):
             row = np.full(size, b, dtype=np.uint64)
