@@ -28,6 +28,7 @@ SPARK_TO_SQL = {
     "double": "DOUBLE",
     "string": "VARCHAR",
     "date": "DATE",
+    "boolean": "BOOLEAN",
 }
 
 
