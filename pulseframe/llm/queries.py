@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pulseframe.llm.decontamination import find_contamination, is_contaminated
 from pulseframe.llm.line_dedup import line_dedup
 from pulseframe.llm.ngram_join import ngram_join
+from pulseframe.llm.oracle import ORACLE_SQL  # noqa: F401
 from pulseframe.llm.packing import pack
 from pulseframe.llm.quality_gam import quality_scores
 from pulseframe.llm.secret_scan import digest, secret_scan
@@ -93,24 +94,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_line_dedup": op10_line_dedup,
 }
-
-_TOP_K = """
-WITH usable AS (
-  SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS v
-  FROM embeddings
-  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
-    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
-), pairs AS (
-  SELECT q.vec_id AS query_id, c.vec_id AS vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
-  FROM usable q JOIN usable c ON q.vec_id <> c.vec_id
-  WHERE q.vec_id % 100 = 0
-), ranked AS (
-  SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
-  FROM pairs
-)
-SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10
-"""
-
-ORACLE_SQL: dict[str, str] = {
-    "op7_exact_top_k": _TOP_K,
-}

@@ -7,7 +7,7 @@ import pytest
 
 import __spark_entry__ as entry
 import corpus_pipeline
-from pulseframe.llm.decontamination import LOWER, UPPER  # noqa: F401
+from pulseframe.llm import queries as corpus
 from pulseframe.staging import stage
 
 
@@ -82,3 +82,10 @@ def test_empty_tables(shipped, small, tmp_path, empty):
         (table.limit(0) if name == empty else table).write.parquet(str(tmp_path / f"{name}.parquet"))
     rows = corpus_pipeline.run(shipped, str(tmp_path)).count()
     assert rows == 0
+
+
+@pytest.mark.parametrize("name", sorted(corpus.ORACLE_SQL))
+def test_queries_have_the_same_rows_as_sql(shipped, small, name):
+    from compare import difference
+
+    assert difference(corpus.QUERIES[name](shipped, small), corpus.ORACLE_SQL[name], small) is None

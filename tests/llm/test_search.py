@@ -7,7 +7,7 @@ import random
 import numpy as np
 import pytest
 
-from pulseframe.llm import queries, top_k
+from pulseframe.llm import top_k
 
 SCHEMA = "vec_id long, embedding array<float>, label int, v string, block string"
 
@@ -52,9 +52,3 @@ def test_few_vectors_and_repeats(shipped):
     assert run(shipped, rows) == [(0, 1, 1, 1024 * 256 - 512 * 1024)]
     assert run(shipped, []) == []
     assert run(shipped, [(100, [1.0])]) == []
-
-
-def test_query_has_sql(shipped, small):
-    from compare import difference
-
-    assert difference(queries.op7_exact_top_k(shipped, small), queries.ORACLE_SQL["op7_exact_top_k"], small) is None
