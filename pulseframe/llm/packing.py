@@ -1,6 +1,6 @@
 """Packing of tokenised documents into training sequences by bounded-space online best-fit.
 
-Each task places pieces as they come. It has a fixed number of open sequences, found by their
+Each task places pieces as they come, those of about a megabyte of text by falling length. It has a fixed number of open sequences, found by their
 free space in a bitset: the fitting one with the least room takes the piece, and when all are taken
 and none fits, the fullest closes. What is open at a task's end is packed once more, whole, among
 the open sequences of neighbouring tasks.
@@ -76,7 +76,7 @@ def cuts(length: int, size: int) -> list[tuple[int, int]]:
     return [(0, first)] + [(at, size) for at in range(first, length, size)]
 
 
-def _tokenised(parts: Iterator[pa.RecordBatch], path: str | None, end_id: int) -> Iterator[tuple[int | None, bytes]]:
+def _tokenised(parts: Iterator[pa.RecordBatch], path: str | None, end_id: int) -> Iterator[list[tuple[int | None, bytes]]]:
     encode = encoder(path)
     end = end_id.to_bytes(4, "little")
     for part in parts:
@@ -89,8 +89,7 @@ def _tokenised(parts: Iterator[pa.RecordBatch], path: str | None, end_id: int) -
                 batch.append(text)
                 chars += len(text)
                 stop += 1
-            for i, ids in enumerate(encode.batch(batch)):
-                yield names[at + i].as_py(), ids + end
+            yield [(names[at + i].as_py(), ids + end) for i, ids in enumerate(encode.batch(batch))]
             at = stop
 
 
@@ -98,10 +97,14 @@ def _pack(parts: Iterator[pa.RecordBatch], path: str | None, size: int, end_id:
     base = TaskContext.get().partitionId() << 33
     bins = OpenSequences(size, most_open)
     rows: list[tuple] = []
-    for name, ids in _tokenised(parts, path, end_id):
-        for piece, (start, length) in enumerate(cuts(len(ids) // 4, size)):
-            sequence, offset = bins.place(length)
-            rows.append((name, piece, start, length, zlib.crc32(ids[4 * start : 4 * (start + length)]), sequence, offset))
+    for batch in _tokenised(parts, path, end_id):
+        pieces = []
+        for name, ids in batch:
+            for piece, (start, length) in enumerate(cuts(len(ids) // 4, size)):
+                pieces.append((name, piece, start, length, zlib.crc32(ids[4 * start : 4 * (start + length)])))
+        # Of the pieces at hand the longest come first: they fit in the fewest places.
+        for row in sorted(pieces, key=lambda p: -p[3]):
+            rows.append((*row, *bins.place(row[3])))
     yield _piece_rows(rows, base, bins.open_names())
 
 
