@@ -49,7 +49,7 @@ FEATURES = ["log_bytes", *CLASSES, "word_bytes", "words_per_line", "distinct_wor
 ROWS = "doc_id long, label int, features array<float>"
 
 #: Texts whose features are computed at a time, in rows.
-ROWS_AT_ONCE = 500
+ROWS_AT_ONCE = 200
 
 
 def _distinct_share(keys: np.ndarray, owner: np.ndarray, n: int) -> np.ndarray:
@@ -263,11 +263,14 @@ def with_quality(docs: DataFrame, model: Gam, text: str = "text") -> DataFrame:
 
     def score(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
-            texts = part.column("text")
+            rows = part.column("row")
+            texts = rows.field(at_text).cast(pa.string())
             scores = [sent.value.scores(text_features(texts.slice(at, ROWS_AT_ONCE))) for at in range(0, len(part), ROWS_AT_ONCE)]
-            yield pa.RecordBatch.from_arrays([part.column("row"), pa.array(np.concatenate([*scores, np.empty(0)]))], names=["row", "score"])
+            yield pa.RecordBatch.from_arrays([rows, pa.array(np.concatenate([*scores, np.empty(0)]))], names=["row", "score"])
+            pa.default_memory_pool().release_unused()
 
-    rows = docs.select(F.struct(*(docs[c] for c in docs.columns)).alias("row"), docs[text].cast("string").alias("text"))
+    rows = docs.select(F.struct(*(docs[c] for c in docs.columns)).alias("row"))
+    at_text = docs.columns.index(text)
     schema = T.StructType([rows.schema["row"], T.StructField("score", T.DoubleType())])
     return rows.mapInArrow(score, schema)
 

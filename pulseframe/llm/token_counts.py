@@ -22,7 +22,7 @@ ROWS = "doc_id long, n_words long, n_tokens long"
 SPACE = "▁"
 #: Rows whose distinct words are walked together, and words whose counts a worker keeps.
 ROWS_AT_ONCE = 1000
-MOST_WORDS = 300_000
+MOST_WORDS = 200_000
 LONGEST_WORD = 64
 #: Log-probability of a byte of a character that no piece covers, below that of the rarest piece.
 BYTE_PENALTY = 10.0

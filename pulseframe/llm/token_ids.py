@@ -7,7 +7,7 @@ import os
 import numpy as np
 
 #: Words whose ids a worker keeps; it starts anew when they are exceeded.
-MOST_WORDS = 600_000
+MOST_WORDS = 200_000
 #: Longer words are not kept.
 LONGEST_WORD = 48
 WORDS_AT_ONCE = 5000
