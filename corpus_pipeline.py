@@ -33,7 +33,7 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without line blocks of earlier documents; a document that loses all its lines goes. A null text is empty here."""
     ship(spark)
-    done = line_dedup(docs.select(COLUMNS), carry=["lang", "source", "n_chars"])
+    done = line_dedup(docs.select(COLUMNS), carry=["lang", "source", "n_chars"], every=True)
     changed = F.col("n_removed") > 0
     return done.where(~changed | (F.col("n_removed") < F.col("n_lines"))).select(
         "doc_id",

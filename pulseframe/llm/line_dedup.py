@@ -135,6 +135,7 @@ def line_dedup(
     id_column: str = "doc_id",
     text: str = "text",
     carry: Sequence[str] = (),
+    every: bool = False,
 ) -> DataFrame:
     """doc_id, n_lines, n_removed, n_blocks, kept: texts without blocks aligned with an earlier document.
 
@@ -142,7 +143,8 @@ def line_dedup(
     as no line. A line is rare for a document if at most `few` documents hold it or it
     is among the `rarest` share of the document's distinct lines. The document is aligned with the
     smallest id that holds one of its rare lines, for each of them that has `least_chars` bytes and
-    a holder with a smaller id. Lines of one document alone take no part in the alignment, but end a
+    a holder with a smaller id. With `every`, all lines count as rare, however many documents hold
+    them. Lines of one document alone take no part in the alignment, but end a
     block. Aligned blocks of at least `least_chars` bytes go, judged on
     the input; `kept` has the other lines, blank ones included. Unchanged texts are kept as they are.
 
@@ -170,6 +172,7 @@ def line_dedup(
             rank = first[np.lexsort((first, count[first]))]
             rare = count <= few
             rare[rank[: int(np.ceil(rarest * len(rank)))]] = True
+            rare |= every
             proof = rare & (count > 1) & (holder < lines.ids[i]) & (lines.size[lo:hi] >= least_chars)
             out["doc_id"].append(int(lines.ids[i]))
             out["row"].append(i)

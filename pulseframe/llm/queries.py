@@ -78,7 +78,7 @@ def op9_best_fit_packing(spark: SparkSession, base: str) -> DataFrame:
 
 
 def op10_line_dedup(spark: SparkSession, base: str) -> DataFrame:
-    done = line_dedup(_read(spark, base, "documents"))
+    done = line_dedup(_read(spark, base, "documents"), every=True)
     return done.select("doc_id", "n_lines", "n_removed", "n_blocks", _sha256("kept").alias("kept_sha256"))
 
 
