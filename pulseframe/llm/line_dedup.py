@@ -2,7 +2,8 @@
 
 Overlapping documents are found through rare lines: each document is aligned with the first holder
 of each of its rare lines, so that pairs stay in proportion to the lines however many
-documents hold one. Two line sequences are aligned on the lines that occur once in both, kept in
+documents hold one. What that leaves is aligned with every other earlier holder: not one by one, but
+once for each form that the earlier documents take when lines foreign to the open ones are blanked. Two line sequences are aligned on the lines that occur once in both, kept in
 order, and between those again; aligned lines that follow each other in both documents are a block.
 """
 
@@ -20,11 +21,17 @@ from pyspark.sql import types as T
 
 from pulseframe.llm import exchange
 from pulseframe.llm.rolling import BYTE_VALUES, OTHER_BASE, Texts, Windows, Words
+from pulseframe.staging import stage
 
-SEQUENCES = "chunk int, doc_id long, row int, partners array<long>, lines array<long>, places array<int>, sizes array<int>"
+SEQUENCES = "chunk int, doc_id long, row int, partners array<long>, lines array<long>, places array<int>, sizes array<int>, asked array<int>"
 REMOVALS = "chunk int, doc_id long, row int, gone array<int>"
+WANTED = "line long, open boolean"
+FORMS = "lines array<long>, places array<int>, doc_id long"
 RESULT = "doc_id long, n_lines long, n_removed long, n_blocks long, kept string"
 
+#: Lines of open documents, and lines of forms, that are sent to all tasks at a time.
+OPEN_LINES, FORM_LINES = 2_000_000, 250_000
+
 HOLDER = np.dtype([("owner", "<i8"), ("count", "u1")])
 
 
@@ -93,6 +100,45 @@ def aligned_blocks(mine: Sequence, places: Sequence[int], sizes: Sequence[int],
     return [b for b, w in zip(blocks, weight) if w >= least_chars]
 
 
+def _lists(part: pa.RecordBatch, name: str) -> tuple[np.ndarray, np.ndarray]:
+    """Values of a list column and the bounds of its rows."""
+    column = part.column(name)
+    size = column.value_lengths().to_numpy(zero_copy_only=False)
+    return column.flatten().to_numpy(zero_copy_only=False), np.concatenate([[0], np.cumsum(size)])
+
+
+def _form(lines: np.ndarray, places: np.ndarray, known: np.ndarray, blank: int) -> tuple[list[int], list[int]]:
+    """A sequence as documents with the known lines see it: others are one blank, and only steps to the next place are told apart."""
+    kept = known | np.concatenate([[True], known[:-1]])
+    lines, places = np.where(known, lines, blank)[kept], places[kept]
+    step = np.where(np.diff(places) == 1, 1, 2)
+    return lines.tolist(), np.concatenate([[0], np.cumsum(step)]).tolist()
+
+
+class _Forms:
+    """Forms of earlier documents, shortest first, and which of them hold a line."""
+
+    def __init__(self, table: pa.Table):
+        rows = sorted(zip(*(table.column(c).to_pylist() for c in ("lines", "places", "doc_id"))), key=lambda r: (len(r[0]), r))
+        self.lines, self.places = [r[0] for r in rows], [r[1] for r in rows]
+        self.ids = np.array([r[2] for r in rows], np.int64)
+        self.once = [_once(v) for v in self.lines]
+        holders: dict[int, list[int]] = {}
+        for n, v in enumerate(self.lines):
+            for x in set(v):
+                holders.setdefault(x, []).append(n)
+        self.holders = {x: np.array(v) for x, v in holders.items()}
+
+    def of(self, lines: set[int], before: int) -> np.ndarray:
+        held = [self.holders[x] for x in lines if x in self.holders]
+        found = np.unique(np.concatenate(held)) if held else np.empty(0, np.int64)
+        return found[self.ids[found] < before]
+
+
+def _once(lines: Sequence[int]) -> frozenset:
+    return frozenset(x for x, n in Counter(lines).items() if n == 1)
+
+
 class _Lines:
     """Lines of a chunk that hold a word: key, document, number among the document's such lines, size."""
 
@@ -144,7 +190,8 @@ def line_dedup(
     is among the `rarest` share of the document's distinct lines. The document is aligned with the
     smallest id that holds one of its rare lines, for each of them that has `least_chars` bytes and
     a holder with a smaller id. With `every`, all lines count as rare, however many documents hold
-    them. Lines of one document alone take no part in the alignment, but end a
+    them, and those left over are aligned with every other holder with a smaller id: the result is
+    that of an alignment with all earlier documents. Lines of one document alone take no part in the alignment, but end a
     block. Aligned blocks of at least `least_chars` bytes go, judged on
     the input; `kept` has the other lines, blank ones included. Unchanged texts are kept as they are.
 
@@ -162,7 +209,7 @@ def line_dedup(
     def sequences(table: pa.Table, replies: pa.Table) -> pa.Table:
         lines = _Lines(table)
         held = exchange.answers(replies, HOLDER)[lines.claims(bits).place]
-        out: dict[str, list] = {name: [] for name in ("doc_id", "row", "partners", "lines", "places", "sizes")}
+        out: dict[str, list] = {name: [] for name in ("doc_id", "row", "partners", "lines", "places", "sizes", "asked")}
         for i, (lo, hi) in enumerate(zip(lines.bounds[:-1], lines.bounds[1:])):
             count, holder = held["count"][lo:hi], held["owner"][lo:hi]
             shared = np.flatnonzero(count > 1)
@@ -174,6 +221,8 @@ def line_dedup(
             rare[rank[: int(np.ceil(rarest * len(rank)))]] = True
             rare |= every
             proof = rare & (count > 1) & (holder < lines.ids[i]) & (lines.size[lo:hi] >= least_chars)
+            # The second of two holders has no other to ask.
+            out["asked"].append(lines.place[lo:hi][proof & (count > 2)].astype(np.int32))
             out["doc_id"].append(int(lines.ids[i]))
             out["row"].append(i)
             out["partners"].append(np.unique(holder[proof]))
@@ -231,12 +280,79 @@ def line_dedup(
         )
         return done.append_column("rest", rows.column("rest")) if carry else done
 
+    def wanted(parts):
+        for part in parts:
+            (lines, bounds), (places, _), (open_, at) = (_lists(part, c) for c in ("lines", "places", "open"))
+            flags = [np.isin(places[a:b], open_[c:d]) for a, b, c, d in zip(bounds[:-1], bounds[1:], at[:-1], at[1:])]
+            yield pa.RecordBatch.from_arrays([pa.array(lines), pa.array(np.concatenate([*flags, np.empty(0, bool)]))], names=["line", "open"])
+
+    def others(left: DataFrame, found: DataFrame) -> list[DataFrame]:
+        """Removals of the open documents against every form that earlier documents with one of their open lines take."""
+        known = left.mapInArrow(wanted, WANTED).groupBy("line").agg(F.max("open").alias("open")).toArrow().sort_by("line")
+        lines, is_open = exchange.column(known, "line"), exchange.column(known, "open")
+        blank = next(x for x in range(len(lines) + 1) if not (lines == x).any())
+        sent = context.broadcast((lines, is_open.astype(bool), blank))
+
+        def forms(parts):
+            lines, is_open, blank = sent.value
+            for part in parts:
+                (theirs, bounds), (places, _) = _lists(part, "lines"), _lists(part, "places")
+                at = np.minimum(np.searchsorted(lines, theirs), len(lines) - 1)
+                known = lines[at] == theirs
+                hits = np.concatenate([[0], np.cumsum(known & is_open[at])])[bounds]
+                chosen = np.flatnonzero(np.diff(hits))
+                made = [_form(theirs[a:b], places[a:b], known[a:b], blank) for a, b in zip(bounds[chosen], bounds[chosen + 1])]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([m[0] for m in made], pa.list_(pa.int64())), pa.array([m[1] for m in made], pa.list_(pa.int32())), part.column("doc_id").take(pa.array(chosen))],
+                    names=["lines", "places", "doc_id"],
+                )
+
+        shapes = found.select("doc_id", "lines", "places").mapInArrow(forms, FORMS).groupBy("lines", "places").agg(F.min("doc_id").alias("doc_id"))
+        shapes = stage(shapes, "line-forms")
+        turns = max(1, -(-(shapes.agg(F.sum(F.size("lines")).alias("n")).first()["n"] or 0) // FORM_LINES))
+        turn = F.pmod(F.xxhash64("lines", "places"), F.lit(turns))
+        return [left.mapInArrow(tried(context.broadcast(shapes.where(turn == n).toArrow())), REMOVALS) for n in range(turns)]
+
+    def tried(sent):
+        def work(parts):
+            built = _Forms(sent.value)
+            for part in parts:
+                gone = []
+                for r in part.to_pylist():
+                    open_, found = set(r["open"]), set()
+                    once = _once(r["lines"])
+                    for n in built.of({x for x, p in zip(r["lines"], r["places"]) if p in open_}, r["doc_id"]):
+                        theirs = built.lines[n]
+                        # Without an equal end or a line that is single on both sides nothing is aligned.
+                        if theirs[0] == r["lines"][0] or theirs[-1] == r["lines"][-1] or not once.isdisjoint(built.once[n]):
+                            for block in aligned_blocks(r["lines"], r["places"], r["sizes"], theirs, built.places[n], least_chars):
+                                found.update(block)
+                            if open_ <= found:
+                                break
+                    gone.append(sorted(found))
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("chunk"), part.column("doc_id"), part.column("row"), pa.array(gone, pa.list_(pa.int32()))],
+                    names=["chunk", "doc_id", "row", "gone"],
+                )
+
+        return work
+
+    context = docs.sparkSession.sparkContext
     holders = exchange.ask(chunks, request, exchange.holder_reply)
-    found = exchange.together(chunks, holders, sequences, SEQUENCES)
+    found = stage(exchange.together(chunks, holders, sequences, SEQUENCES), "line-sequences")
     later = found.select("chunk", "doc_id", "row", "lines", "places", "sizes", F.explode("partners").alias("partner"))
-    again = exchange.together(chunks, holders, sequences, SEQUENCES)
-    earlier = again.select(F.col("doc_id").alias("partner"), F.col("lines").alias("their_lines"), F.col("places").alias("their_places"))
+    earlier = found.select(F.col("doc_id").alias("partner"), F.col("lines").alias("their_lines"), F.col("places").alias("their_places"))
     removals = later.join(earlier, "partner").mapInArrow(align, REMOVALS)
+    if every:
+        removals = stage(removals, "line-removals")
+        gone = removals.groupBy("chunk", "row").agg(F.array_distinct(F.flatten(F.collect_list("gone"))).alias("gone"))
+        left = found.where(F.size("asked") > 0).drop("partners").join(gone, ["chunk", "row"], "left")
+        left = left.withColumn("open", F.array_except("asked", F.coalesce("gone", F.array().cast("array<int>")))).where(F.size("open") > 0)
+        left = stage(left.drop("asked", "gone"), "open-lines")
+        turns = -(-(left.agg(F.sum(F.size("lines")).alias("n")).first()["n"] or 0) // OPEN_LINES)
+        for n in range(turns):
+            for more in others(left.where(F.pmod(F.xxhash64("doc_id"), F.lit(turns)) == n), found):
+                removals = removals.unionByName(more)
     result = T.StructType.fromDDL(RESULT)
     if carry:
         result.add(chunks.schema["rest"])

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import random
+
 import brute
 import pytest
 
-from pulseframe.llm import queries
+from pulseframe.llm import line_dedup, queries
 from pulseframe.llm.line_dedup import aligned_blocks
 
 
@@ -49,3 +51,21 @@ def test_passage_of_many_documents(op10):
     found = op10(rows)
     assert found == aligned_with_all(rows)
     assert [gone for _, _, gone in found] == [0] + [10] * 11
+
+
+def test_passages_in_another_order_than_at_their_first_holder(op10):
+    x, y = lines("x", 5), lines("y", 5)
+    rows = [(1, text(y, x)), (2, text(x, y)), (3, text(x, y)), (4, text(lines("own", 3), x, y))]
+    found = op10(rows)
+    assert found == aligned_with_all(rows)
+    assert [gone for _, _, gone in found] == [0, 5, 10, 10]
+
+
+@pytest.mark.parametrize("at_once", [250_000, 3])
+def test_lines_repeated_within_documents(op10, monkeypatch, at_once):
+    monkeypatch.setattr(line_dedup, "OPEN_LINES", at_once * 8)
+    monkeypatch.setattr(line_dedup, "FORM_LINES", at_once * 8)
+    rng = random.Random(at_once)
+    pool = lines("the pool", 7)
+    rows = [(k, "\n".join(rng.choice(pool) if rng.random() < 0.7 else f"a line of document {k} alone {n}" for n in range(rng.randrange(9)))) for k in range(60)]
+    assert op10(rows) == aligned_with_all(rows)
