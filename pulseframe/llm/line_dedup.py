@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pulseframe.llm import exchange
-from pulseframe.llm.rolling import BYTE_VALUES, OTHER_BASE, Texts, Windows, Words
+from pulseframe.llm.rolling import BYTE_VALUES, OTHER_BASE, Texts, Windows, Words, mix
 from pulseframe.staging import stage
 
 SEQUENCES = "chunk int, doc_id long, row int, partners array<long>, lines array<long>, places array<int>, sizes array<int>, asked array<int>"
@@ -160,14 +160,45 @@ class _Lines:
         self.bounds = np.searchsorted(self.owner, np.arange(texts.n + 1))
         self.place = np.arange(len(start)) - self.bounds[self.owner]
         self.size = end - start
+        self.asked_keys, self.asked_second, self.asked_owner = self.keys, self.second, self.owner
+
+    def runs(self, least: int) -> tuple[np.ndarray, np.ndarray]:
+        """First and last line of the shortest runs of several lines that reach `least` bytes, forward from each short line and backward.
+
+        A block of that size has each of its lines in such a run of the block, or is itself of one long enough line.
+        """
+        n = len(self.size)
+        total = np.concatenate([[0], np.cumsum(self.size)])
+        line = np.arange(n)
+        to = np.searchsorted(total, total[:-1] + least) - 1
+        back = np.searchsorted(total, total[1:] - least, "right") - 1
+        lo, hi = self.bounds[self.owner], self.bounds[self.owner + 1]
+        forward, backward = (to > line) & (to < hi), (back < line) & (back >= lo)
+        first, last = np.concatenate([line[forward], back[backward]]), np.concatenate([to[forward], line[backward]])
+        pairs = np.unique(np.stack([first, last]), axis=1)
+        return pairs[0], pairs[1]
+
+    def with_runs(self, least: int) -> tuple[np.ndarray, np.ndarray]:
+        """Adds the runs' keys behind those of the lines, for claims; gives the runs."""
+        first, last = self.runs(least)
+        made = []
+        for keys in (self.keys, self.second):
+            run = np.ones(len(first), np.uint64)
+            for k in range(int((last - first).max(initial=-1)) + 1):
+                on = first + k <= last
+                run[on] = mix((run[on] * OTHER_BASE) ^ keys[first[on] + k])
+            made.append(run)
+        self.asked_keys, self.asked_second = np.concatenate([self.keys, made[0]]), np.concatenate([self.second, made[1]])
+        self.asked_owner = np.concatenate([self.owner, self.owner[first]])
+        return first, last
 
     def claims(self, bits: int) -> exchange.Claims:
-        """One claim for each distinct line of a document, so that counts are of documents."""
-        order = np.lexsort((self.keys, self.owner))
-        keys, owner = self.keys[order], self.owner[order]
+        """One claim for each distinct line or run of a document, so that counts are of documents."""
+        order = np.lexsort((self.asked_keys, self.asked_owner))
+        keys, owner = self.asked_keys[order], self.asked_owner[order]
         fresh = np.concatenate([[True], (keys[1:] != keys[:-1]) | (owner[1:] != owner[:-1])])[: len(order)]
         once = order[fresh]
-        asked = exchange.claims(self.chunk, self.keys[once], self.second[once], self.ids[self.owner[once]], bits)
+        asked = exchange.claims(self.chunk, self.asked_keys[once], self.asked_second[once], self.ids[self.asked_owner[once]], bits)
         number = np.empty(len(order), np.int64)
         number[order] = np.cumsum(fresh) - 1
         return exchange.Claims(asked.table, asked.place[number] if len(number) else number, asked.owners)
@@ -191,7 +222,8 @@ def line_dedup(
     smallest id that holds one of its rare lines, for each of them that has `least_chars` bytes and
     a holder with a smaller id. With `every`, all lines count as rare, however many documents hold
     them, and those left over are aligned with every other holder with a smaller id: the result is
-    that of an alignment with all earlier documents. Lines of one document alone take no part in the alignment, but end a
+    that of an alignment with all earlier documents. Runs of shorter lines that have `least_chars` bytes
+    together name partners too. Lines of one document alone take no part in the alignment, but end a
     block. Aligned blocks of at least `least_chars` bytes go, judged on
     the input; `kept` has the other lines, blank ones included. Unchanged texts are kept as they are.
 
@@ -204,12 +236,18 @@ def line_dedup(
     chunks = exchange.chunked(docs, plan, id_column, text, carry)
 
     def request(table: pa.Table) -> pa.Table:
-        return _Lines(table).claims(bits).table
+        lines = _Lines(table)
+        if every:
+            lines.with_runs(least_chars)
+        return lines.claims(bits).table
 
     def sequences(table: pa.Table, replies: pa.Table) -> pa.Table:
         lines = _Lines(table)
+        first_of, last_of = lines.with_runs(least_chars) if every else (np.empty(0, np.int64),) * 2
         held = exchange.answers(replies, HOLDER)[lines.claims(bits).place]
         out: dict[str, list] = {name: [] for name in ("doc_id", "row", "partners", "lines", "places", "sizes", "asked")}
+        # Runs in order of their first line.
+        runs = np.searchsorted(first_of, lines.bounds)
         for i, (lo, hi) in enumerate(zip(lines.bounds[:-1], lines.bounds[1:])):
             count, holder = held["count"][lo:hi], held["owner"][lo:hi]
             shared = np.flatnonzero(count > 1)
@@ -221,11 +259,16 @@ def line_dedup(
             rare[rank[: int(np.ceil(rarest * len(rank)))]] = True
             rare |= every
             proof = rare & (count > 1) & (holder < lines.ids[i]) & (lines.size[lo:hi] >= least_chars)
+            run = held[len(lines.keys) + runs[i] : len(lines.keys) + runs[i + 1]]
+            earlier_run = run["owner"] < lines.ids[i]
             # The second of two holders has no other to ask.
-            out["asked"].append(lines.place[lo:hi][proof & (count > 2)].astype(np.int32))
+            asked = proof & (count > 2)
+            for at in runs[i] + np.flatnonzero(earlier_run & (run["count"] > 2)):
+                asked[first_of[at] - lo : last_of[at] - lo + 1] = True
+            out["asked"].append(lines.place[lo:hi][asked].astype(np.int32))
             out["doc_id"].append(int(lines.ids[i]))
             out["row"].append(i)
-            out["partners"].append(np.unique(holder[proof]))
+            out["partners"].append(np.unique(np.concatenate([holder[proof], run["owner"][earlier_run]])))
             out["lines"].append(lines.keys[lo:hi][shared].view(np.int64))
             out["places"].append(lines.place[lo:hi][shared].astype(np.int32))
             out["sizes"].append(lines.size[lo:hi][shared].astype(np.int32))

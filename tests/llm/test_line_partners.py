@@ -69,3 +69,20 @@ def test_lines_repeated_within_documents(op10, monkeypatch, at_once):
     pool = lines("the pool", 7)
     rows = [(k, "\n".join(rng.choice(pool) if rng.random() < 0.7 else f"a line of document {k} alone {n}" for n in range(rng.randrange(9)))) for k in range(60)]
     assert op10(rows) == aligned_with_all(rows)
+
+
+def test_short_lines(op10):
+    verse = [f"word {k} é" for k in range(30)]
+    rows = [(1, "\n".join(verse)), (2, "\n".join(verse)), (3, text(["own"], verse[4:9], ["}"], verse[9:11]))]
+    # A long line at first holder 4 alone, with short lines after it elsewhere.
+    rows += [(4, text(lines("q", 1), ["other"])), (5, text(lines("q", 1), ["a", "b", "c"])), (6, text(lines("q", 1), ["a", "b", "c"]))]
+    found = op10(rows)
+    assert found == aligned_with_all(rows)
+    assert [gone for _, _, gone in found] == [0, 30, 5, 0, 1, 4]
+
+
+def test_random_short_lines(op10):
+    rng = random.Random(4)
+    pool = ["}", "{", "end", "return x", "x = 1", "a line of some length", "for k in v:"]
+    rows = [(k, "\n".join(rng.choice(pool) if rng.random() < 0.85 else f"u{k}.{n}" for n in range(rng.randrange(14)))) for k in range(70)]
+    assert op10(rows) == aligned_with_all(rows)
