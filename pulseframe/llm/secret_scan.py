@@ -30,7 +30,8 @@ KINDS = ("assign", "access", "hex", "signed_token", "der_key", "key_blob", "pem_
 #: Shortest stretches that are decoded.
 LEAST_SIGNED, LEAST_ENCODED = 12, 32
 
-_SIGNED = re.compile(r"(?<![A-Za-z0-9_.-])([A-Za-z0-9_-]{8,})\.([A-Za-z0-9_-]{2,})\.([A-Za-z0-9_-]*)(?![A-Za-z0-9_.-])")
+_DOTTED = re.compile(r"[A-Za-z0-9_-]+(?:\.[A-Za-z0-9_-]*){2,}")
+_HEADER = re.compile(r"(?<![A-Za-z0-9])[CDIe][A-Za-z0-9_-]{7,}")
 _BASE64 = re.compile(r"[A-Za-z0-9+/_-]{32,}={0,2}")
 _LONG_HEX = re.compile(r"(?<![0-9A-Fa-f])(?:[0-9a-f]{2}){16,}(?![0-9A-Fa-f])|(?<![0-9A-Fa-f])(?:[0-9A-F]{2}){16,}(?![0-9A-Fa-f])")
 _PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]{0,40}PRIVATE KEY)-----([A-Za-z0-9+/=\s]+)-----END \1-----", re.ASCII)
@@ -116,6 +117,26 @@ def is_signed_header(part: str) -> bool:
     return isinstance(header, dict) and isinstance(header.get("alg"), str)
 
 
+def signed_spans(text: str) -> list[tuple[int, int]]:
+    """Places of three dotted parts of which the first ends in a header; what stands before or after them does not matter.
+
+    A header begins with white space or a brace, so its first letter is one of four; it may follow a dash.
+    """
+    found = []
+    for m in _DOTTED.finditer(text):
+        parts, start, free = m[0].split("."), m.start(), 0
+        for k, part in enumerate(parts[:-2]):
+            if k >= free and len(parts[k + 1]) >= 2:
+                at = 0
+                while (h := _HEADER.search(part, at)) and not is_signed_header(h[0]):
+                    at = h.start() + 1
+                if h and decoded(parts[k + 1]) is not None:
+                    found.append((start + h.start(), start + len(part) + len(parts[k + 1]) + len(parts[k + 2]) + 2))
+                    free = k + 3
+            start += len(part) + 1
+    return found
+
+
 def longest_run(text: str) -> int:
     """Of characters other than white space: no pattern of letters is longer."""
     return max(map(len, text.split()), default=0)
@@ -139,9 +160,7 @@ def confirmed_spans(text: str, longest: int) -> list[tuple[str, int, int]]:
     """(kind, start, end) of the stretches whose structure is a key's or a signed token's."""
     found = []
     if longest >= LEAST_SIGNED and any(word.count(".") > 1 for word in text.split() if len(word) >= LEAST_SIGNED):
-        for m in _SIGNED.finditer(text):
-            if is_signed_header(m[1]) and decoded(m[2]) is not None:
-                found.append(("signed_token", m.start(), m.end()))
+        found += [("signed_token", start, end) for start, end in signed_spans(text)]
     if longest >= LEAST_ENCODED:
         encoded = [(m, decoded(m[0])) for m in _BASE64.finditer(text)] + [(m, bytes.fromhex(m[0])) for m in _LONG_HEX.finditer(text)]
         for m, data in encoded:
