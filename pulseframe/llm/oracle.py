@@ -133,10 +133,59 @@ WITH usable AS (
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10
 """
 
+_NEAR = (
+    _SIMILAR.replace("100 * o.n >= 75", "100 * o.n >= 85").replace(
+        "component_id, coalesce(class_id, doc_id) AS class_id", "component_id, doc_id = component_id AS kept, coalesce(class_id, doc_id) AS class_id"
+    )
+    + """UNION ALL
+SELECT NULL, len(list_distinct(list_transform(range(1, CASE WHEN len(w) = 0 THEN 1 ELSE greatest(len(w) - 4, 1) + 1 END),
+                                              lambda s: array_to_string(w[s:s + 4], ' ')))), NULL, TRUE, NULL
+FROM (SELECT regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                '[^\\x20\\x09-\\x0D]+') AS w
+      FROM documents WHERE doc_id IS NULL)
+"""
+)
+
+_LEXICAL = r"""
+WITH split AS (
+  SELECT doc_id, row_number() OVER () AS d,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w
+  FROM documents
+), held AS (
+  SELECT d, doc_id, len(w) AS n, w FROM split WHERE len(w) > 0
+), total AS (
+  SELECT count(*) AS n_docs, CAST(sum(n) AS BIGINT) AS n_terms FROM held
+), queries AS (
+  SELECT row_number() OVER () AS q, item_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w
+  FROM benchmark WHERE item_id IS NOT NULL
+), asked AS (
+  SELECT q, term, count(*) AS times FROM (SELECT q, unnest(w) AS term FROM queries) GROUP BY ALL
+), postings AS (
+  SELECT d, doc_id, n, term, count(*) AS tf
+  FROM (SELECT d, doc_id, n, unnest(w) AS term FROM held) SEMI JOIN asked USING (term) GROUP BY ALL
+), weights AS (
+  SELECT term, CAST(floor(1000 * ln((2.0::DOUBLE * n_docs + 2) / (2.0::DOUBLE * count(*) + 1))) AS BIGINT) AS w
+  FROM postings, total GROUP BY term, n_docs
+), scores AS (
+  SELECT q, d, doc_id, CAST(sum(times * w * (1000000000 * tf // (1000 * tf + 12 * (75 + 25 * n * n_docs // n_terms)))) AS BIGINT) AS score
+  FROM asked JOIN weights USING (term) JOIN postings USING (term), total
+  WHERE doc_id IS NOT NULL GROUP BY q, d, doc_id
+), ranked AS (
+  SELECT q, doc_id, score, CAST(row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id) AS INTEGER) AS rank
+  FROM scores WHERE score > 0
+)
+SELECT item_id, rank, doc_id, score FROM ranked JOIN queries USING (q) WHERE rank <= 20
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "op1_ngram_jaccard_join": _SIMILAR,
     "op4_benchmark_decontamination": _CONTAMINATION,
     "op6_suffix_array_dedup": _BYTES,
     "op7_exact_top_k": _TOP_K,
     "op8_substring_dedup": _WORDS,
+    "op11_minhash_near_dedup": _NEAR,
+    "op13_ranked_lexical_search": _LEXICAL,
 }

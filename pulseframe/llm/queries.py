@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pulseframe.llm.decontamination import find_contamination, is_contaminated
+from pulseframe.llm.lexical_search import lexical_search
 from pulseframe.llm.line_dedup import line_dedup
+from pulseframe.llm.minhash_dedup import minhash_dedup
 from pulseframe.llm.ngram_join import ngram_join
 from pulseframe.llm.oracle import ORACLE_SQL  # noqa: F401
 from pulseframe.llm.packing import pack
@@ -82,6 +84,14 @@ def op10_line_dedup(spark: SparkSession, base: str) -> DataFrame:
     return done.select("doc_id", "n_lines", "n_removed", "n_blocks", _sha256("kept").alias("kept_sha256"))
 
 
+def op11_minhash_near_dedup(spark: SparkSession, base: str) -> DataFrame:
+    return minhash_dedup(_read(spark, base, "documents"))
+
+
+def op13_ranked_lexical_search(spark: SparkSession, base: str) -> DataFrame:
+    return lexical_search(_read(spark, base, "documents"), _read(spark, base, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
     "op2_quality_classifier": op2_quality_classifier,
@@ -93,4 +103,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_substring_dedup": op8_substring_dedup,
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_line_dedup": op10_line_dedup,
+    "op11_minhash_near_dedup": op11_minhash_near_dedup,
+    "op13_ranked_lexical_search": op13_ranked_lexical_search,
 }
