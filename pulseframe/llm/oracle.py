@@ -180,6 +180,42 @@ WITH split AS (
 SELECT item_id, rank, doc_id, score FROM ranked JOIN queries USING (q) WHERE rank <= 20
 """
 
+_PHRASES = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                      '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents
+), split AS (
+  SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces
+), totals AS (
+  SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM split GROUP BY lang
+), f AS (
+  SELECT lang, size, g, count(*) AS f
+  FROM (SELECT lang, size, unnest(list_transform(range(1, len(w) - size + 2), lambda s: array_to_string(w[s:s + size - 1], ' '))) AS g
+        FROM split, (VALUES (1), (2), (3)) sizes(size))
+  GROUP BY ALL
+), candidates AS (
+  SELECT lang, size, g, f AS a, string_split(g, ' ') AS w FROM f WHERE size > 1 AND f >= 10
+), cuts AS (
+  SELECT lang, g, a, k, array_to_string(w[1:k], ' ') AS head, array_to_string(w[k + 1:], ' ') AS rest
+  FROM candidates, (VALUES (1), (2)) ks(k) WHERE k < size
+), scored AS (
+  SELECT c.lang, c.g, a, k, x.f AS l, y.f AS r, CAST(1000000 * a::HUGEINT * a // (x.f::HUGEINT * y.f) AS BIGINT) AS score
+  FROM cuts c JOIN f x ON x.lang = c.lang AND x.g = c.head JOIN f y ON y.lang = c.lang AND y.g = c.rest
+), lowest AS (
+  SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, k) = 1
+), longer AS (
+  SELECT lang, unnest([array_to_string(w[1:2], ' '), array_to_string(w[2:3], ' ')]) AS g, a FROM candidates WHERE size = 3
+), covering AS (
+  SELECT lang, g, max(a) AS most FROM longer GROUP BY lang, g
+), ranked AS (
+  SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, g) AS rank, g AS phrase, a, l, r, score
+  FROM lowest LEFT JOIN covering USING (lang, g) WHERE most IS NULL OR 100 * most < 50 * a
+)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "op1_ngram_jaccard_join": _SIMILAR,
     "op4_benchmark_decontamination": _CONTAMINATION,
@@ -187,5 +223,6 @@ ORACLE_SQL: dict[str, str] = {
     "op7_exact_top_k": _TOP_K,
     "op8_substring_dedup": _WORDS,
     "op11_minhash_near_dedup": _NEAR,
+    "op12_phrase_mining": _PHRASES,
     "op13_ranked_lexical_search": _LEXICAL,
 }

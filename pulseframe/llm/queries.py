@@ -14,6 +14,7 @@ from pulseframe.llm.minhash_dedup import minhash_dedup
 from pulseframe.llm.ngram_join import ngram_join
 from pulseframe.llm.oracle import ORACLE_SQL  # noqa: F401
 from pulseframe.llm.packing import pack
+from pulseframe.llm.phrase_mining import phrase_mining
 from pulseframe.llm.quality_gam import quality_scores
 from pulseframe.llm.secret_scan import digest, secret_scan
 from pulseframe.llm.ship import ship
@@ -88,6 +89,10 @@ def op11_minhash_near_dedup(spark: SparkSession, base: str) -> DataFrame:
     return minhash_dedup(_read(spark, base, "documents"))
 
 
+def op12_phrase_mining(spark: SparkSession, base: str) -> DataFrame:
+    return phrase_mining(_read(spark, base, "documents"))
+
+
 def op13_ranked_lexical_search(spark: SparkSession, base: str) -> DataFrame:
     return lexical_search(_read(spark, base, "documents"), _read(spark, base, "benchmark"))
 
@@ -104,5 +109,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_line_dedup": op10_line_dedup,
     "op11_minhash_near_dedup": op11_minhash_near_dedup,
+    "op12_phrase_mining": op12_phrase_mining,
     "op13_ranked_lexical_search": op13_ranked_lexical_search,
 }
