@@ -14,6 +14,7 @@ from __future__ import annotations
 
 from contextlib import ExitStack
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -63,15 +64,12 @@ class _Order:
             packed = np.zeros(len(sequence), np.uint64)
             for part in following:
                 packed = packed << np.uint64(bits) | part.astype(np.uint64)
-            suffixes = np.argsort(packed, kind="stable")
+            suffixes = np.argsort(packed)
         else:
             suffixes = np.lexsort(following[::-1])
         self.before = sequence[suffixes - 1].astype(np.int64)
-        self.first = np.concatenate([[0], np.cumsum(np.bincount(sequence, minlength=kinds + 1))])
-        n = len(sequence)
-        by_number = np.argsort(self.before, kind="stable")
-        self.width = n + 1
-        self.places = self.before[by_number] * self.width + by_number
+        self.width = len(sequence) + 1
+        self.places = np.sort(self.before * self.width + np.arange(len(sequence)))
 
     def step(self, number: np.ndarray, place: np.ndarray) -> np.ndarray:
         """Where the suffixes begin that start with `number` followed by those from `place` on."""
@@ -82,14 +80,21 @@ class PhraseIndex:
     """Both orders of a sequence of word numbers in which 0 parts what does not belong together."""
 
     def __init__(self, sequence: np.ndarray, kinds: int, depth: int):
-        self.kinds = kinds
-        self.forward = _Order(sequence, kinds, depth)
-        self.backward = _Order(sequence[::-1], kinds, depth)
+        self.sequence, self.kinds, self.depth = sequence, kinds, depth
+        self.first = np.concatenate([[0], np.cumsum(np.bincount(sequence, minlength=kinds + 1))])
+
+    @cached_property
+    def forward(self) -> _Order:
+        return _Order(self.sequence, self.kinds, self.depth)
+
+    @cached_property
+    def backward(self) -> _Order:
+        return _Order(self.sequence[::-1], self.kinds, self.depth)
 
     def single(self) -> Phrases:
-        first = self.forward.first
-        low = first[1:-1]
-        return Phrases(np.arange(1, self.kinds + 1)[:, None], low, self.backward.first[1:-1], first[2:] - low)
+        """Every number; single ones lie at the same places in both orders."""
+        low = self.first[1:-1]
+        return Phrases(np.arange(1, self.kinds + 1)[:, None], low, low, self.first[2:] - low)
 
     def _extended(self, order: _Order, low: np.ndarray, other: np.ndarray, count: np.ndarray):
         """Every number before the given intervals of `order`: (phrase, number, low, other low, count)."""
@@ -150,12 +155,12 @@ class _Shard:
         return PhraseIndex(sequence, int(frequent.sum()), depth), np.concatenate([np.zeros(1, np.uint64), self.keys[frequent]])
 
     def frequent_phrases(self, answers: list[np.ndarray], depth: int, least: int) -> list[tuple[Phrases, np.ndarray]]:
-        """Phrases size by size with their names: frequent ones of the sizes that are answered, then all of the next one."""
+        """Phrases size by size with their names: frequent ones of the sizes that are answered, then all of the next one, up to `depth`."""
         frequent = answers[0] >= least
-        index, names = self.index(frequent, depth)
+        index, names = self.index(frequent, min(depth, len(answers) + 1))
         phrases = index.single()
         found = [(phrases, _named(names, phrases.words))]
-        for size in range(2, len(answers) + 2):
+        for size in range(2, min(depth, len(answers) + 1) + 1):
             phrases, known = found[-1]
             left = size % 2 == 1
             phrases = index.extended_left(phrases) if left else index.extended_right(phrases)
@@ -218,11 +223,11 @@ def phrase_counts(docs: DataFrame, most_words: int, least: int, lang: str, text:
 
     def report(table: pa.Table, replies: pa.Table) -> pa.Table:
         shard = _Shard(table, bits)
-        got = answers(replies, most_words - 1)
+        got = answers(replies, most_words)
         return shard.report(shard.frequent_phrases(got, most_words, least), got[0] >= least)
 
     replies = scratch.enter_context(staged(exchange.ask(chunks, ask_words, exchange.count_reply), "phrase-words"))
-    for sizes in range(1, most_words - 1):
+    for sizes in range(1, most_words):
         more = exchange.ask(chunks, ask_phrases(sizes), exchange.count_reply, replies)
         replies = replies.union(scratch.enter_context(staged(exchange.next_question(more, bits, sizes), "phrase-replies")))
     parts = exchange.together(chunks, replies, report, COUNTS)
