@@ -35,3 +35,9 @@ def code_dimension(spark: SparkSession, text: Mapping[str, str] = ITEM_CODE_TEXT
         .groupBy(F.trim("code").cast("int").alias("itemid"))
         .agg(F.min_by("name", "place").alias("measurement"))
     )
+
+
+def known_codes(d_items: DataFrame, text: Mapping[str, str] = ITEM_CODE_TEXT) -> DataFrame:
+    """(measurement, itemid, times): listed codes of the dictionary and how often each stands there; no more rows than the lists."""
+    listed = d_items.where(F.col("itemid").isin(all_codes(code_lists(text)))).groupBy("itemid")
+    return code_dimension(d_items.sparkSession, text).join(listed.agg(F.count(F.lit(1)).alias("times")), "itemid")

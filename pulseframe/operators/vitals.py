@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pulseframe.functions import age_in_years, classify_item, mean_where
-from pulseframe.operators.codes import all_codes, code_dimension, code_lists
+from pulseframe.operators.codes import all_codes, code_lists, known_codes
 from pulseframe.operators.extract import stays, stays_are_small, valid_readings
 from pulseframe.operators.joins import BROADCAST_BYTES, join_by_key
 from pulseframe.schemas import (
@@ -69,17 +69,28 @@ def pivot_vitals(
     return classified.groupBy(*key).agg(*vital_means(weight))
 
 
-def demographics(stay_rows: DataFrame) -> DataFrame:
+def demographics(stay_rows: DataFrame, repeated: str = "all") -> DataFrame:
     """Distinct (hadm_id, gender, age) inputs: gender and birth date per admission.
 
-    Accepts the extract or admissions joined with patients. An admission with
-    two different demographic rows keeps both, and doubles its observations
-    when joined; `repeated_keys` in quality finds such admissions.
+    Accepts the extract or admissions joined with patients. `repeated` says what becomes of an
+    admission with different demographic rows: "all" keeps them, and doubles its observations when
+    joined; "first" keeps the least by gender, birth and admission, NULLs first; "error" raises a ValueError that
+    names some of them, which takes a job.
     """
+    if repeated not in ("all", "first", "error"):
+        raise ValueError(f"repeated is {repeated!r}, not 'all', 'first' or 'error'")
+    rows = stay_rows.select("hadm_id", "gender", "dob", "admittime")
+    if repeated == "first":
+        least = F.min(F.struct("gender", "dob", "admittime")).alias("least")
+        rows = rows.groupBy("hadm_id").agg(least).select("hadm_id", "least.*")
+    else:
+        rows = rows.distinct()
+    if repeated == "error":
+        twice = rows.groupBy("hadm_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").take(5)
+        if twice:
+            raise ValueError(f"admissions with several demographic rows, among them {[row['hadm_id'] for row in twice]}")
     return (
-        stay_rows.select("hadm_id", "gender", "dob", "admittime")
-        .distinct()
-        .select("hadm_id", "gender", age_in_years(F.col("dob"), F.col("admittime")).alias("age"))
+        rows.select("hadm_id", "gender", age_in_years(F.col("dob"), F.col("admittime")).alias("age"))
     )
 
 
@@ -92,15 +103,16 @@ def join_demographics(
     wide: DataFrame,
     tables: ClinicalTables,
     broadcast_bytes: int = BROADCAST_BYTES,
+    repeated: str = "all",
 ) -> DataFrame:
-    """Adds gender and age from the admissions and patients.
+    """Adds gender and age from the admissions and patients; `repeated` as in demographics.
 
     Where these are too large to broadcast, the observations are written first: hot admissions are
     then found among the rows that are joined, which may differ from those of the raw readings.
     """
     return join_by_key(
         wide,
-        demographics(stays(tables, broadcast_bytes)),
+        demographics(stays(tables, broadcast_bytes), repeated),
         "hadm_id",
         spread_by=["charttime"],
         small=stays_are_small(tables, broadcast_bytes),
@@ -134,6 +146,7 @@ def feature_table(
     tables: ClinicalTables,
     text: Mapping[str, str] = ITEM_CODE_TEXT,
     broadcast_bytes: int = BROADCAST_BYTES,
+    repeated: str = "all",
 ) -> DataFrame:
     """Four tables -> complete observations with gender and age.
 
@@ -144,12 +157,7 @@ def feature_table(
     demographics, which come from the two small tables. A code that the dictionary lists n times makes
     its readings count n times, as a join with the dictionary does.
     """
-    groups = code_lists(text)
-    codes = all_codes(groups)
-    listed = tables.d_items.where(F.col("itemid").isin(codes)).groupBy("itemid")
-    known = code_dimension(tables.chartevents.sparkSession, text).join(
-        listed.agg(F.count(F.lit(1)).alias("times")), "itemid"
-    )
-    readings = valid_readings(tables.chartevents, codes).join(F.broadcast(known), "itemid")
+    valid = valid_readings(tables.chartevents, all_codes(code_lists(text)))
+    readings = valid.join(F.broadcast(known_codes(tables.d_items, text)), "itemid")
     wide = pivot_vitals(readings, weight=F.col("times"))
-    return join_demographics(complete_vitals(wide), tables, broadcast_bytes)
+    return join_demographics(complete_vitals(wide), tables, broadcast_bytes, repeated)

@@ -118,8 +118,16 @@ def repeated_dictionary(spark: SparkSession, base: str) -> ClinicalTables:
     return replace(tables, d_items=tables.d_items.union(again))
 
 
-def event_log(spark: SparkSession, base: str) -> ClinicalTables:
-    """Events of a user in a week form one observation."""
+def repeated_patients(spark: SparkSession, base: str) -> ClinicalTables:
+    """Order history in which every fifth patient has a second row with another birth date."""
+    tables = order_history(spark, base)
+    again = tables.patients.where(F.col("subject_id") % 5 == 0)
+    later = again.withColumn("dob", F.date_add("dob", 100).cast("timestamp"))
+    return replace(tables, patients=tables.patients.union(later))
+
+
+def event_log(spark: SparkSession, base: str, numbered: bool = False) -> ClinicalTables:
+    """Events of a user in a week form one observation; `numbered` readings keep their event_id."""
     people = patients(spark, base)
     admitted = F.date_add(F.lit("2024-01-01").cast("date"), (F.col("subject_id") % 7).cast("int"))
     admissions = people.select(
@@ -139,6 +147,7 @@ def event_log(spark: SparkSession, base: str) -> ClinicalTables:
         F.col("value").alias("valuenum"),
         F.lit("unit").alias("valueuom"),
         F.when(F.col("event_id") % 29 == 3, "1").alias("error"),
+        *(["event_id"] if numbered else []),
     )
     return ClinicalTables(people, admissions, chartevents, dictionary(spark, base))
 

@@ -7,6 +7,7 @@ engine can reproduce the values.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import replace
 
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
@@ -17,6 +18,7 @@ from pulseframe.operators import extract, metrics, model, quality, split, vitals
 from pulseframe.operators.codes import all_codes, code_dimension, code_lists
 from pulseframe.plans import analogs, monitoring
 from pulseframe.plans.batch import run_batch
+from pulseframe.plans.incremental import FeatureStore
 from pulseframe.schemas import (
     BATCH_FEATURES,
     BATCH_LABEL,
@@ -28,7 +30,8 @@ from pulseframe.schemas import (
     SENSOR_TARGETS,
     VITAL_COLUMNS,
 )
-from pulseframe.sinks.files import preview, read_batches, write_csv, write_predictions
+from pulseframe.sinks.files import commit_batch, preview, read_batches, read_committed, write_csv, write_predictions
+from pulseframe.sources import bucketed
 from pulseframe.sources.jdbc import modulus_slices, range_slices, slice_number
 from pulseframe.sources.tables import read_table, stream_table
 from pulseframe.staging import persisted, stage, work_dir
@@ -163,6 +166,33 @@ def feature_table(spark, base):
     return _plain(vitals.feature_table(analogs.order_history(spark, base)))
 
 
+def bucketed_features(spark, base):
+    """The feature table from readings that lie in buckets by admission."""
+    return _plain(bucketed.bucketed_features(bucketed.land_bucketed(analogs.order_history(spark, base), buckets=8)))
+
+
+def bucketed_skewed_features(spark, base):
+    """The same of readings a third of which belong to one admission, from a folder opened again."""
+    landed = bucketed.land_bucketed(analogs.skewed_order_history(spark, base), buckets=8)
+    return _plain(bucketed.bucketed_features(bucketed.open_bucketed(spark, landed.root)))
+
+
+def single_demographics(spark, base):
+    """Features where every fifth patient has two rows, of which one counts."""
+    return _plain(vitals.feature_table(analogs.repeated_patients(spark, base), repeated="first"))
+
+
+def incremental_features(spark, base):
+    """Weekly features kept by three updates: a first part of the events, the rest, and nothing new."""
+    tables = analogs.event_log(spark, base, numbered=True)
+    store = FeatureStore(work_dir(spark, "feature-store"), "event_id", partitions=16)
+    middle = tables.chartevents.agg(F.floor(F.avg("event_id"))).first()[0]
+    early = replace(tables, chartevents=tables.chartevents.where(F.col("event_id") <= middle))
+    for part in (early, tables, tables):
+        store.update(part)
+    return _plain(store.read(spark))
+
+
 def features_from_extract(spark, base):
     """The same table from the joined extract, written once and read twice."""
     rows = extract.clinical_extract(analogs.order_history(spark, base), CODES)
@@ -632,6 +662,26 @@ def stream_waited(spark, base):
     )
 
 
+def stream_committed(spark, base):
+    """Every message with its outcome, from batches that are listed when complete; the stream runs twice."""
+    root = work_dir(spark, "stream-committed")
+    for run in range(2):
+        drain(
+            monitoring.monitor(
+                _message_stream(spark, base),
+                f"{_query_name(root)}-{run}",
+                root,
+                ModelStore(f"{root}/model"),
+                keep=["event_id"],
+                train_with=StreamTraining(CONSTANT),
+                write=commit_batch,
+            )
+        )
+    scored = read_committed(spark, f"{root}/scored", "event_id long")
+    rejected = read_committed(spark, f"{root}/rejected", "event_id long")
+    return scored.select("event_id", F.lit("scored").alias("outcome")).union(rejected.select("event_id", F.lit("rejected")))
+
+
 def _scored_inline(spark, base, trained):
     root = work_dir(spark, "stream-inline")
     scored, _ = monitoring.scored_stream(_message_stream(spark, base), trained, ["event_id"])
@@ -678,6 +728,10 @@ QUERIES = {
         vitals_with_demographics,
         complete_vitals,
         feature_table,
+        bucketed_features,
+        bucketed_skewed_features,
+        single_demographics,
+        incremental_features,
         features_from_extract,
         weekly_features,
         skewed_extract,
@@ -724,6 +778,7 @@ QUERIES = {
         stream_coverage,
         stream_scored_constant,
         stream_waited,
+        stream_committed,
         stream_scored_inline,
         stream_agrees_with_batch,
     )

@@ -11,10 +11,11 @@ from pyspark.sql.streaming import DataStreamWriter
 from pulseframe.operators.model import score_sensors
 from pulseframe.operators.quality import split_complete
 from pulseframe.schemas import SENSOR_FEATURES
+from pulseframe.sinks.files import write_batch
 from pulseframe.streaming.models import ModelStore
 from pulseframe.streaming.parse import parse_messages
 from pulseframe.streaming.runs import named_writer
-from pulseframe.streaming.scoring import StreamTraining, scoring_handler
+from pulseframe.streaming.scoring import BatchWriter, StreamTraining, scoring_handler
 
 
 def scored_stream(
@@ -32,14 +33,15 @@ def monitor(
     models: ModelStore,
     keep: Sequence[str] = (),
     train_with: StreamTraining | None = None,
+    write: BatchWriter = write_batch,
 ) -> DataStreamWriter:
-    """Writer that scores each micro-batch into `root`/scored and `root`/rejected.
+    """Writer that scores each micro-batch into `root`/scored and `root`/rejected, by `write`.
 
     In the steady state a model trained on tables is published beforehand; `train_with` is for a start
     without one.
     """
     handler = scoring_handler(
-        f"{root}/scored", f"{root}/rejected", models, keep, train_with, f"{root}/waiting"
+        f"{root}/scored", f"{root}/rejected", models, keep, train_with, f"{root}/waiting", write
     )
     return named_writer(parse_messages(messages, keep), name, f"{root}/checkpoints").foreachBatch(
         handler

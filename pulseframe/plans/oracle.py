@@ -80,6 +80,12 @@ _TWICE_LISTED = _ORDER_HISTORY.replace("d_items AS (", "single_items AS (").repl
     "admissions AS (", "d_items AS (SELECT * FROM single_items UNION ALL SELECT * FROM single_items WHERE itemid = 51),\nadmissions AS ("
 )
 
+_TWICE_BORN = _ORDER_HISTORY.replace("patients AS (", "single_patients AS (").replace(
+    "admissions AS (",
+    "patients AS (SELECT * FROM single_patients UNION ALL\n"
+    "  SELECT subject_id, gender, dob + 100 AS dob, dod FROM single_patients WHERE subject_id % 5 = 0),\nadmissions AS (",
+)
+
 _EVENT_LOG = f"""{_PATIENTS}, {_D_ITEMS},
 admissions AS (
   SELECT subject_id, subject_id AS hadm_id,
@@ -224,7 +230,17 @@ trained AS (SELECT * FROM labelled WHERE training),
 
 _TABLES = {"patients": "customer", "admissions": "orders", "chartevents": "lineitem"}
 
+_ONE_DEMO = """demo AS (
+  SELECT hadm_id, gender, datediff('day', dob, admittime) / 365.25 AS age
+  FROM admissions JOIN patients USING (subject_id)
+  QUALIFY row_number() OVER (PARTITION BY hadm_id ORDER BY gender NULLS FIRST, dob NULLS FIRST, admittime NULLS FIRST) = 1)"""
+
 ORACLE_SQL = {
+    "bucketed_features": _HISTORY_FEATURES,
+    "bucketed_skewed_features": f"{_features(_SKEWED_HISTORY)} {_FEATURE_ROWS}",
+    "single_demographics": f"{_features(_TWICE_BORN)} {_FEATURE_ROWS}".replace(_DEMO, _ONE_DEMO),
+    "incremental_features": _WEEKLY_FEATURES,
+    "stream_committed": """SELECT event_id, CASE WHEN event_type = 'error' THEN 'rejected' ELSE 'scored' END AS outcome FROM events""",
     "late_skew_features": f"{_features(_LATE_HISTORY)} {_FEATURE_ROWS}",
     "repeated_dictionary": f"""{_TWICE_COUNTED}
 SELECT form, {_FEATURE_ROWS.removeprefix("SELECT ").removesuffix(" FROM features")}

@@ -18,6 +18,8 @@ from pulseframe.staging import persisted, remove
 from pulseframe.streaming.models import ModelStore
 
 BatchHandler = Callable[[DataFrame, int], None]
+#: write_batch replaces a batch's folder; commit_batch lists a new one when it is complete.
+BatchWriter = Callable[[DataFrame, str, int], None]
 
 
 def counting_handler(out: str, by: Sequence[str] = ()) -> BatchHandler:
@@ -81,6 +83,7 @@ def scoring_handler(
     keep: Sequence[str] = (),
     train_with: StreamTraining | None = None,
     waiting: str | None = None,
+    write: BatchWriter = write_batch,
 ) -> BatchHandler:
     """Scores both pressures of each usable reading into `out`.
 
@@ -88,8 +91,9 @@ def scoring_handler(
     batch with enough labelled readings trains and publishes the model if none is
     published yet. Usable readings that arrive before any model go to `waiting`, by default a folder
     beside `rejected`; with the first batch that finds a model they are scored too, as batch WAITED. So
-    every record ends up in exactly one of `out` and `rejected` once there is a model. A
-    version published later is used from the next batch on.
+    every record ends up in exactly one of `out` and `rejected` once there is a model. What waited is scored
+    once: then its folder goes. A version published later is used from the next batch on. `write` puts a
+    batch into `out` and `rejected`.
     """
     waiting = waiting or f"{rejected.rstrip('/')}-waiting"
     held: dict[str, object] = {"version": None, "model": None, "waited": False}
@@ -107,7 +111,7 @@ def scoring_handler(
         return held["model"]
 
     def score_waiting(model: PipelineModel, like: DataFrame) -> None:
-        """Once per run of the job; writing the same rows again replaces them."""
+        """Once; if a run ends before the folder is gone, the next one writes the same rows in their place."""
         if held["waited"]:
             return
         spark = like.sparkSession
@@ -117,7 +121,8 @@ def scoring_handler(
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
         else:
-            write_batch(score_sensors(model, rows, keep), out, WAITED)
+            write(score_sensors(model, rows, keep), out, WAITED)
+            remove(spark, waiting)
         held["waited"] = True
 
     def handle(batch: DataFrame, batch_id: int) -> None:
@@ -126,13 +131,13 @@ def scoring_handler(
                 return
             usable, unusable = split_complete(rows, SENSOR_FEATURES)
             model = current_model(usable)
-            write_batch(unusable, rejected, batch_id)
+            write(unusable, rejected, batch_id)
             if model is None:
                 write_batch(usable, waiting, batch_id)
             else:
                 # A replayed batch may have waited before: it is scored below.
                 remove(rows.sparkSession, f"{waiting}/batch_id={batch_id}")
                 score_waiting(model, usable)
-                write_batch(score_sensors(model, usable, keep), out, batch_id)
+                write(score_sensors(model, usable, keep), out, batch_id)
 
     return handle
