@@ -27,8 +27,8 @@ from pulseframe.staging import stage, staged
 GAPS = byte_set(range(0x00, 0x30), range(0x3A, 0x41), range(0x5B, 0x61), range(0x7B, 0x80))
 
 #: Documents and postings of a shard, about.
-SHARD_DOCUMENTS = 16_384
-SHARD_POSTINGS = 1 << 20
+SHARD_DOCUMENTS = 4096
+SHARD_POSTINGS = 1 << 18
 #: Queries that search a shard together.
 QUERIES_TOGETHER = 256
 #: Query terms up to this number (16 MB) are sent to the tasks that read documents, which then keep no other postings.

@@ -61,7 +61,7 @@ def corpus():
     return rows, queries
 
 
-@pytest.mark.parametrize("shards", [16_384, 50])
+@pytest.mark.parametrize("shards", [4096, 50])
 @pytest.mark.parametrize("most", [2_000_000, 3])
 def test_search(shipped, make_docs, corpus, monkeypatch, shards, most):
     """`most` 3: too many query terms to send, so every posting is kept; small shards and turns."""
