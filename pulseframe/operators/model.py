@@ -45,7 +45,7 @@ class ForestSettings:
     subsampling_rate: float = 1.0
     feature_subset: str = "auto"
     max_bins: int = 32
-    rows_per_task: int = 100_000
+    rows_per_task: int = 10_000
 
 
 @dataclass(frozen=True)
