@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from pulseframe.functions import is_missing
@@ -51,6 +51,27 @@ def step_counts(classified: DataFrame, key: Sequence[str] = tuple(OBSERVATION_KE
     )
 
 
+def observed_steps(
+    classified: DataFrame, key: Sequence[str] = tuple(OBSERVATION_KEY)
+) -> tuple[DataFrame, dict[str, Observation]]:
+    """Complete observations, and counts of the steps before them that are taken while these rows are computed.
+
+    The counts are those of step_counts, without a job of their own: any action on the frame fills them, and
+    `steps_seen` waits for it. An action that reads a part of the rows counts a part, and a stage that is run again
+    after a loss may count its rows twice.
+    """
+    seen = {"readings": Observation("readings"), "observations": Observation("observations")}
+    readings = classified.observe(seen["readings"], F.count(F.lit(1)).alias("n_readings"))
+    wide = readings.groupBy(*key).agg(*vital_means())
+    counts = [F.count(F.lit(1)).alias("n_observations"), F.count_if(has_all(REQUIRED_VITALS)).alias("n_complete")]
+    return wide.observe(seen["observations"], *counts).dropna(subset=REQUIRED_VITALS), seen
+
+
+def steps_seen(seen: dict[str, Observation]) -> dict[str, int]:
+    """The counts of an action that has run, or runs."""
+    return {name: count for step in seen.values() for name, count in step.get.items()}
+
+
 def repeated_keys(df: DataFrame, key: str) -> DataFrame:
     """(key, n_rows) of keys that should be unique and are not."""
     return df.groupBy(key).agg(F.count(F.lit(1)).alias("n_rows")).where(F.col("n_rows") > 1)

@@ -164,3 +164,19 @@ def sensor_messages(events: DataFrame) -> DataFrame:
     )
     text = F.when(F.col("event_type") == "error", F.lit("bad")).otherwise(F.to_json(pulse))
     return events.select("event_id", text.cast("binary").alias("value"))
+
+
+def faulty_messages(events: DataFrame) -> DataFrame:
+    """Sensor messages of which five in seven have a fault of a kind: no JSON, cut off, wrong type, wrong case, missing."""
+    kind = F.col("event_id") % 7
+    heart, time = (F.col("user_id") % 64 + 50).cast("string"), F.col("event_id").cast("string")
+    rest = F.concat(F.lit('"PTT":'), time, F.lit(',"PIR":0.5'))
+    text = (
+        F.when(kind == 0, F.lit("no json"))
+        .when(kind == 1, F.concat(F.lit("{"), rest))
+        .when(kind == 2, F.concat(F.lit("{"), rest, F.lit(',"HR":"fast"}')))
+        .when(kind == 3, F.concat(F.lit("{"), rest, F.lit(',"hr":'), heart, F.lit("}")))
+        .when(kind == 4, F.lit('{"HR":null,"PIR":0.5}'))
+        .otherwise(F.concat(F.lit("{"), rest, F.lit(',"HR":'), heart, F.lit("}")))
+    )
+    return events.select("event_id", text.cast("binary").alias("value"))

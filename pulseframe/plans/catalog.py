@@ -9,12 +9,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import replace
 
+from pyspark.ml import Pipeline
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pulseframe.functions import age_in_years
-from pulseframe.operators import extract, metrics, model, quality, split, vitals
+from pulseframe.operators import extract, metrics, model, quality, split, trees, vitals
 from pulseframe.operators.codes import all_codes, code_dimension, code_lists
 from pulseframe.plans import analogs, monitoring
 from pulseframe.plans.batch import run_batch
@@ -32,12 +33,13 @@ from pulseframe.schemas import (
 )
 from pulseframe.sinks.files import commit_batch, preview, read_batches, read_committed, write_csv, write_predictions
 from pulseframe.sources import bucketed
-from pulseframe.sources.jdbc import modulus_slices, range_slices, slice_number
+from pulseframe.sources.jdbc import cut_slices, modulus_slices, quantile_cuts, range_slices, slice_number
 from pulseframe.sources.tables import read_table, stream_table
 from pulseframe.staging import persisted, stage, work_dir
 from pulseframe.streaming.models import ModelStore
-from pulseframe.streaming.parse import parse_messages
-from pulseframe.streaming.runs import drain, named_writer
+from pulseframe.streaming.parse import explain_messages, parse_messages, split_by_reasons
+from pulseframe.streaming.runs import counted, drain, named_writer, observed_records
+from pulseframe.streaming.sampling import StreamSample
 from pulseframe.streaming.scoring import WAITED, StreamTraining, counting_handler, scoring_handler
 
 GROUPS = code_lists()
@@ -252,6 +254,15 @@ def step_counts(spark, base):
     return quality.step_counts(_classified(analogs.order_history(spark, base)))
 
 
+def observed_steps(spark, base):
+    """The same counts, taken while the complete observations are written."""
+    features, seen = quality.observed_steps(_classified(analogs.order_history(spark, base)))
+    stage(features, "features")
+    counts = quality.steps_seen(seen)
+    names = ["n_readings", "n_observations", "n_complete"]
+    return spark.createDataFrame([tuple(counts[n] for n in names)], ", ".join(f"{n} long" for n in names))
+
+
 def quality_report(spark, base):
     """Summaries of the four clinical tables, checked for their columns."""
     tables = analogs.order_history(spark, base)
@@ -293,6 +304,19 @@ def hash_split_counts(spark, base):
     return features.groupBy(part.alias("part")).agg(F.count(F.lit(1)).alias("n_rows"))
 
 
+def grouped_split(spark, base):
+    """Rows and patients of both parts of a split by patient, and patients that are in both."""
+    tables = analogs.order_history(spark, base)
+    rows = stage(tables.admissions.select("subject_id", "hadm_id"), "stays")
+    train, test = split.grouped_split(rows, "subject_id")
+    parts = train.select("subject_id", F.lit("train").alias("part")).union(test.select("subject_id", F.lit("test")))
+    both = (F.min("part") != F.max("part")).alias("both")
+    sides = parts.groupBy("subject_id").agg(F.min("part").alias("part"), F.count(F.lit(1)).alias("n"), both)
+    return sides.groupBy("part").agg(
+        F.sum("n").alias("n_rows"), F.count(F.lit(1)).alias("n_patients"), F.count_if("both").alias("n_in_both")
+    )
+
+
 def random_split_cover(spark, base):
     """Rows of both random parts together, and how many observations those are."""
     train, test = split.random_split(stage(_weekly(spark, base), "features"))
@@ -399,6 +423,56 @@ def rf_stump_importance(spark, base):
     return model.feature_importances(spark, _stump(spark, base).model, ["HR"])
 
 
+# As many bins as the features have values, so that the splits are the exact best ones.
+DEPTH2 = replace(STUMP, max_depth=2)
+
+
+def rf_depth2(spark, base):
+    """A tree of depth 2 on two features, scored as column expressions."""
+    readings = _labelled(spark, base)
+    fitted = model.train_dual_target(readings, DEPTH2, keys=["event_id"], features=["HR", "PIR"]).model
+    _, test = split.key_split(readings, ["event_id"])
+    return _plain(trees.score_by_expressions(fitted, test).select("event_id", "Predicted_SBP", "Predicted_DBP"))
+
+
+def rf_expression_agreement(spark, base):
+    """Messages scored by expressions of 100 trees, and how many get the model's scores to the last bit."""
+    settings = replace(model.ForestSettings(), max_depth=2)
+    fitted = model.train_dual_target(_labelled(spark, base), settings, keys=["event_id"]).model
+    usable, _ = quality.split_complete(_readings(spark, base), SENSOR_FEATURES)
+    usable = stage(usable, "usable")
+    mine = trees.score_by_expressions(fitted, usable).select(
+        "event_id", F.col("Predicted_SBP").alias("sbp"), F.col("Predicted_DBP").alias("dbp")
+    )
+    both = model.score_sensors(fitted, usable, ["event_id"]).join(mine, "event_id")
+    same = (F.col("Predicted_SBP") == F.col("sbp")) & (F.col("Predicted_DBP") == F.col("dbp"))
+    return both.agg(F.count(F.lit(1)).alias("n_scored"), F.count_if(same).alias("n_equal"))
+
+
+FOUR_FEATURES = ["HR", "PIR", "phase", "step"]
+
+
+def _four_features(spark, base):
+    """A stump among four features, and the readings that did not train it."""
+    phase, step = F.col("event_id") % 30, F.floor(F.col("PTT") / 16)
+    readings = _labelled(spark, base).withColumns({"phase": phase.cast("double"), "step": step.cast("double")})
+    train, test = split.key_split(stage(readings, "readings"), ["event_id"])
+    pipeline = Pipeline(stages=[model.assembler(FOUR_FEATURES), model.forest("SBP", STUMP)])
+    return model.fit(pipeline, train.select("SBP", *FOUR_FEATURES), STUMP), test
+
+
+def rf_four_importances(spark, base):
+    """The importance goes to the feature whose best split explains most."""
+    fitted, _ = _four_features(spark, base)
+    return model.feature_importances(spark, fitted, FOUR_FEATURES)
+
+
+def permutation_importance(spark, base):
+    """The same stump on held-out readings with one feature's values in other places."""
+    fitted, test = _four_features(spark, base)
+    return _plain(model.permutation_importances(fitted, test, "SBP", FOUR_FEATURES, ["event_id"]))
+
+
 def batch_job(spark, base):
     """Rows after each step of the whole job; the predictions are counted in the file."""
     path = work_dir(spark, "batch-job")
@@ -442,6 +516,14 @@ def rejected_messages(spark, base):
     return unusable.select("event_id", F.array_join("missing", ",").alias("missing"))
 
 
+def rejected_reasons(spark, base):
+    """Faulty messages with what is wrong with which field, and as they came."""
+    explained = explain_messages(analogs.faulty_messages(read_table(spark, base, "events")), keep=["event_id"])
+    _, rejected = split_by_reasons(explained)
+    named = F.array_join(F.transform("reasons", lambda r: F.concat_ws(":", r["field"], r["reason"])), ",")
+    return rejected.select("event_id", named.alias("reasons"), F.col("raw").cast("string").alias("raw"))
+
+
 def sensor_features(spark, base):
     usable, _ = quality.split_complete(_readings(spark, base), SENSOR_FEATURES)
     vectors = model.assembler(SENSOR_FEATURES).transform(usable)
@@ -530,6 +612,23 @@ def jdbc_slices(spark, base):
     )
 
 
+def quantile_slices(spark, base):
+    """Slices of a key that crowds at its low end: rows, rows taken once, and whether no slice is far above the mean."""
+    key = (F.col("o_orderkey") * F.col("o_orderkey") * F.col("o_orderkey")).alias("k")
+    orders = stage(read_table(spark, base, "orders").select(key), "orders")
+    low, high = orders.agg(F.min("k"), F.max("k")).first()
+    methods = {"range": range_slices("k", low, high, 8), "quantile": cut_slices("k", quantile_cuts(orders, "k", 8))}
+    columns = []
+    for method, slices in methods.items():
+        hits = sum((F.coalesce(F.expr(clause), F.lit(False)).cast("int") for clause in slices), F.lit(0))
+        columns.append(F.struct(F.lit(method).alias("method"), hits.alias("hits"), slice_number(slices).alias("slice")))
+    rows = orders.select(F.inline(F.array(*columns))).groupBy("method", "slice")
+    rows = rows.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("hits") == 1).alias("once"))
+    return rows.groupBy("method").agg(
+        F.sum("n").alias("n_rows"), F.sum("once").alias("n_taken_once"), (F.max("n") * 8 <= F.sum("n") * 1.5).alias("even")
+    )
+
+
 # Streams.
 
 
@@ -568,6 +667,31 @@ def stream_batch_counts(spark, base):
     return _counted_stream(spark, base, runs=1)
 
 
+def stream_observed_counts(spark, base):
+    """All records of the stream, counted while its batches are written."""
+    root = work_dir(spark, "stream-observed")
+    events = counted(stream_table(spark, base, "events").select("event_id"))
+    writer = named_writer(events, _query_name(root), f"{root}/checkpoints").format("parquet").option("path", f"{root}/events")
+    return spark.createDataFrame([(sum(observed_records(drain(writer)).values()),)], "n_records long")
+
+
+def stream_sample(spark, base):
+    """A sample of 200 labelled readings over a stream of five batches, each of them delivered twice."""
+    root = work_dir(spark, "stream-sample")
+    labelled = _labelled(spark, base).select("event_id")
+    for part in range(5):
+        labelled.where(F.col("event_id") % 5 == part).coalesce(1).write.parquet(f"{root}/in/{part}")
+    stream = spark.readStream.schema(labelled.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/in/*")
+    sample = StreamSample(f"{root}/sample", 200, ["event_id"])
+
+    def twice(batch, batch_id):
+        sample.add(batch, batch_id)
+        sample.add(batch, batch_id)
+
+    drain(named_writer(stream, _query_name(root), f"{root}/checkpoints").foreachBatch(twice))
+    return sample.read(spark, "event_id long")
+
+
 def stream_resumed(spark, base):
     """The same after a restart from the checkpoint: no record lost or counted again."""
     return _counted_stream(spark, base, runs=2)
@@ -741,11 +865,13 @@ QUERIES = {
         persisted_features,
         feature_sample,
         step_counts,
+        observed_steps,
         quality_report,
         validated_counts,
         repeated_admissions,
         hash_split_counts,
         random_split_cover,
+        grouped_split,
         mean_baseline_metrics,
         category_index,
         assembled_features,
@@ -757,10 +883,15 @@ QUERIES = {
         rf_constant_metrics,
         rf_stump,
         rf_stump_importance,
+        rf_depth2,
+        rf_expression_agreement,
+        rf_four_importances,
+        permutation_importance,
         batch_job,
         model_roundtrip,
         json_parse,
         rejected_messages,
+        rejected_reasons,
         sensor_features,
         dual_target_predictions,
         dual_target_metrics,
@@ -770,9 +901,12 @@ QUERIES = {
         single_file_csv,
         predictions_file,
         jdbc_slices,
+        quantile_slices,
         stream_parse,
         stream_batch_counts,
         stream_resumed,
+        stream_observed_counts,
+        stream_sample,
         stream_scored,
         stream_rejected,
         stream_coverage,

@@ -235,7 +235,117 @@ _ONE_DEMO = """demo AS (
   FROM admissions JOIN patients USING (subject_id)
   QUALIFY row_number() OVER (PARTITION BY hadm_id ORDER BY gender NULLS FIRST, dob NULLS FIRST, admittime NULLS FIRST) = 1)"""
 
+def _hash60(text):
+    return f"CAST('0x' || substr(md5('42|' || CAST({text} AS VARCHAR)), 1, 15) AS BIGINT)"
+
+
+def _value_of(feature, features):
+    """The column that `feature` names."""
+    return f"CASE {feature} {' '.join(_named(f) for f in features)} END"
+
+
+def _named(feature):
+    return f"WHEN '{feature}' THEN {feature}"
+
+
+def _grown(name, source, features, target):
+    """The split of `source` that explains most, over the cuts between values of all of `trained`; first of equals."""
+    places = ", ".join(f"({i}, '{f}')" for i, f in enumerate(features))
+    value = _value_of("f", features)
+    return f"""{name}_all AS (
+  SELECT i, f, v, (v + lead(v) OVER (PARTITION BY f ORDER BY v)) / 2 AS cut
+  FROM (SELECT DISTINCT i, f, {value} AS v FROM trained, (VALUES {places}) features(i, f))),
+{name}_sums AS (
+  SELECT i, f, {value} AS v, count(*) AS n, sum({target}) AS s FROM {source}, (VALUES {places}) features(i, f) GROUP BY 1, 2, 3),
+{name}_cuts AS (
+  SELECT a.i, a.f, a.cut, sum(b.n) FILTER (b.v <= a.cut) AS nl, sum(b.s) FILTER (b.v <= a.cut) AS sl, sum(b.n) AS nt, sum(b.s) AS st
+  FROM {name}_all a JOIN {name}_sums b ON a.f = b.f WHERE a.cut IS NOT NULL GROUP BY 1, 2, 3),
+{name} AS (
+  SELECT f, cut, sl / nl AS low, (st - sl) / (nt - nl) AS high
+  FROM {name}_cuts WHERE nl > 0 AND nl < nt
+  ORDER BY sl * sl / nl + (st - sl) * (st - sl) / (nt - nl) DESC, i, cut LIMIT 1)"""
+
+
+def _side(name, features):
+    return f"{_value_of(f'(SELECT f FROM {name})', features)} <= (SELECT cut FROM {name})"
+
+
+_TWO, _FOUR = ["HR", "PIR"], ["HR", "PIR", "phase", "step"]
+
+
+def _depth2(target):
+    top, low, high = f"{target}_top", f"{target}_low", f"{target}_high"
+    return f"""{_grown(top, "trained", _TWO, target)},
+{low}_rows AS (SELECT * FROM trained WHERE {_side(top, _TWO)}),
+{high}_rows AS (SELECT * FROM trained WHERE NOT {_side(top, _TWO)}),
+{_grown(low, f"{low}_rows", _TWO, target)},
+{_grown(high, f"{high}_rows", _TWO, target)}"""
+
+
+def _leaf(name):
+    return f"CASE WHEN {_side(name, _TWO)} THEN (SELECT low FROM {name}) ELSE (SELECT high FROM {name}) END"
+
+
+def _depth2_score(target):
+    top = _side(f"{target}_top", _TWO)
+    return f"round(CASE WHEN {top} THEN {_leaf(f'{target}_low')} ELSE {_leaf(f'{target}_high')} END, 6) AS Predicted_{target}"
+
+
+_LABELLED = f"""WITH {_READINGS},
+labelled AS (
+  SELECT event_id, CAST(PTT AS DOUBLE) AS PTT, CAST(PIR AS DOUBLE) AS PIR, CAST(HR AS DOUBLE) AS HR,
+         CAST(SBP AS DOUBLE) AS SBP, CAST(DBP AS DOUBLE) AS DBP, CAST(event_id % 30 AS DOUBLE) AS phase,
+         floor(CAST(PTT AS DOUBLE) / 16) AS step, {_bucket(["event_id"])} < 8000 AS training
+  FROM readings WHERE SBP IS NOT NULL),
+trained AS (SELECT * FROM labelled WHERE training)"""
+
+_PERMUTED = f"""{_LABELLED},
+{_grown("best", "trained", _FOUR, "SBP")},
+test AS (SELECT *, md5('42|' || CAST(event_id AS VARCHAR)) AS place FROM labelled WHERE NOT training),
+dealt AS (
+  SELECT *, CAST('0x' || substr(place, 1, 8) AS BIGINT) % (SELECT greatest(1, CAST(ceil(count(*) / 10000.0) AS BIGINT)) FROM test) AS g FROM test),
+others AS (
+  SELECT *, {", ".join(f"coalesce(lead({f}) OVER w, first_value({f}) OVER w) AS other_{f}" for f in _FOUR)}
+  FROM dealt WINDOW w AS (PARTITION BY g ORDER BY place, event_id)),
+mixed AS (
+  SELECT feature, SBP, {", ".join(f"CASE WHEN feature = '{f}' THEN other_{f} ELSE {f} END AS {f}" for f in _FOUR)}
+  FROM others, (VALUES (''), {", ".join(f"('{f}')" for f in _FOUR)}) changed(feature)),
+errors AS (
+  SELECT feature, avg((SBP - p) * (SBP - p)) AS mse
+  FROM (SELECT *, CASE WHEN {_side("best", _FOUR)} THEN (SELECT low FROM best) ELSE (SELECT high FROM best) END AS p FROM mixed)
+  GROUP BY feature)
+SELECT CAST(row_number() OVER (ORDER BY round(e.mse - b.mse, 9) DESC, e.feature) AS INTEGER) AS rank, e.feature,
+       round(e.mse, 6) AS mse, round(e.mse - b.mse, 6) AS importance
+FROM errors e JOIN errors b ON b.feature = '' WHERE e.feature <> ''"""
+
 ORACLE_SQL = {
+    "rf_depth2": f"""{_LABELLED}, {_depth2("SBP")}, {_depth2("DBP")}
+SELECT event_id, {_depth2_score("SBP")}, {_depth2_score("DBP")} FROM labelled WHERE NOT training""",
+    "rf_expression_agreement": """SELECT count(*) AS n_scored, count(*) AS n_equal
+FROM events WHERE event_type <> 'error'""",
+    "rf_four_importances": f"""{_LABELLED}, {_grown("best", "trained", _FOUR, "SBP")}
+SELECT CAST(row_number() OVER (ORDER BY (f = name) DESC, name) AS INTEGER) AS rank, name AS feature,
+       CASE WHEN f = name THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS importance
+FROM best, (VALUES {", ".join(f"('{f}')" for f in _FOUR)}) names(name)""",
+    "permutation_importance": _PERMUTED,
+    "grouped_split": f"""WITH hashed AS (
+  SELECT s, row_number() OVER (ORDER BY {_hash60("s")}, s) AS place, count(*) OVER () AS n FROM (SELECT DISTINCT o_custkey AS s FROM orders)),
+parts AS (SELECT o_custkey AS s, CASE WHEN place <= floor(0.8 * n + 0.5) THEN 'train' ELSE 'test' END AS part
+          FROM orders JOIN hashed ON s = o_custkey)
+SELECT part, count(*) AS n_rows, count(DISTINCT s) AS n_patients, CAST(0 AS BIGINT) AS n_in_both FROM parts GROUP BY part""",
+    "rejected_reasons": """SELECT event_id,
+  CASE event_id % 7 WHEN 0 THEN '*:not json' WHEN 1 THEN '*:not json' WHEN 2 THEN 'HR:wrong type' WHEN 3 THEN 'HR:wrong case'
+       ELSE 'PTT:missing,HR:missing' END AS reasons,
+  CASE event_id % 7 WHEN 0 THEN 'no json' WHEN 1 THEN '{"PTT":' || event_id || ',"PIR":0.5'
+       WHEN 2 THEN '{"PTT":' || event_id || ',"PIR":0.5,"HR":"fast"}'
+       WHEN 3 THEN '{"PTT":' || event_id || ',"PIR":0.5,"hr":' || (user_id % 64 + 50) || '}'
+       ELSE '{"HR":null,"PIR":0.5}' END AS raw
+FROM events WHERE event_id % 7 < 5""",
+    "quantile_slices": """SELECT method, count(*) AS n_rows, count(*) AS n_taken_once, method = 'quantile' AS even
+FROM orders, (VALUES ('range'), ('quantile')) methods(method) GROUP BY method""",
+    "stream_observed_counts": "SELECT count(*) AS n_records FROM events",
+    "stream_sample": f"""SELECT event_id FROM (SELECT event_id FROM events WHERE event_type <> 'error' AND event_id % 10 <> 0)
+ORDER BY {_hash60("event_id")}, event_id LIMIT 200""",
     "bucketed_features": _HISTORY_FEATURES,
     "bucketed_skewed_features": f"{_features(_SKEWED_HISTORY)} {_FEATURE_ROWS}",
     "single_demographics": f"{_features(_TWICE_BORN)} {_FEATURE_ROWS}".replace(_DEMO, _ONE_DEMO),
@@ -384,3 +494,4 @@ FROM events WHERE event_type <> 'error'""",
        count(*) AS n_rows, count(DISTINCT event_id) AS n_messages
 FROM events GROUP BY 1""",
 }
+ORACLE_SQL["observed_steps"] = ORACLE_SQL["step_counts"]

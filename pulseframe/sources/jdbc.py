@@ -61,6 +61,41 @@ def range_slices(column: str, lower: int, upper: int, slices: int) -> list[str]:
     return [f"{column} < {cuts[0]} OR {column} IS NULL", *inner, f"{column} >= {cuts[-1]}"]
 
 
+def cut_slices(column: str, cuts: Sequence[int]) -> list[str]:
+    """WHERE clauses for the ranges between cut points; disjoint, and together they cover every row."""
+    cuts = sorted(set(cuts))
+    if not cuts:
+        return list(WHOLE)
+    inner = [f"{column} >= {a} AND {column} < {b}" for a, b in zip(cuts, cuts[1:])]
+    return [f"{column} < {cuts[0]} OR {column} IS NULL", *inner, f"{column} >= {cuts[-1]}"]
+
+
+def quantile_cuts(rows: DataFrame, column: str, slices: int, accuracy: int = 10_000) -> list[int]:
+    """Cut points of an integer column between `slices` parts of about equal row count.
+
+    From a quantile summary that is built where the rows are: its error is a fraction 1/accuracy of all rows. A table landed
+    before, or a part of it, may stand for the source's. Ranges of equal width would follow the
+    numbers, not the rows: most may lie in one of them.
+    """
+    places = [i / slices for i in range(1, slices)]
+    if not places:
+        return []
+    found = rows.agg(F.percentile_approx(column, places, accuracy).alias("cuts")).first()["cuts"]
+    return sorted({int(cut) for cut in found or []})
+
+
+def quantile_query(table: str, column: str, slices: int) -> str:
+    """A query, for the database itself, with the first value of each of `slices` parts of equal row count but the first."""
+    parts = f"SELECT {column} AS v, NTILE({slices}) OVER (ORDER BY {column}) AS part FROM {table} WHERE {column} IS NOT NULL"
+    return f"SELECT MIN(v) AS cut FROM ({parts}) parts WHERE part > 1 GROUP BY part ORDER BY cut"
+
+
+def read_quantile_cuts(spark: SparkSession, connection: JdbcConnection, table: str, column: str, slices: int) -> list[int]:
+    """The cut points as the database finds them: one row for each slice."""
+    reader = spark.read.format("jdbc").options(url=connection.url, query=quantile_query(table, column, slices), **connection.properties)
+    return [int(row[0]) for row in reader.load().collect()]
+
+
 def modulus_slices(columns: Sequence[str], slices: int) -> list[str]:
     """WHERE clauses by the remainder of the columns' sum, for skewed tables.
 

@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery, StreamingQueryListener
 
 
 def named_writer(stream: DataFrame, name: str, checkpoint_root: str) -> DataStreamWriter:
@@ -54,3 +55,43 @@ def recent_records_per_batch(query: StreamingQuery) -> dict[int, int]:
     it is reported with a multiple.
     """
     return {p["batchId"]: p["numInputRows"] for p in query.recentProgress}
+
+
+RECORDS = "records"
+
+
+def counted(stream: DataFrame, name: str = RECORDS) -> DataFrame:
+    """The stream, whose records are counted while they flow: no job and no read of their own."""
+    return stream.observe(name, F.count(F.lit(1)).alias("n_records"))
+
+
+def observed_records(query: StreamingQuery, name: str = RECORDS) -> dict[int, int]:
+    """Records of the recent batches of a `counted` stream; an empty batch has none."""
+    found = {}
+    for progress in query.recentProgress:
+        metrics = progress.get("observedMetrics", {}).get(name)
+        if metrics is not None:
+            found[progress["batchId"]] = metrics["n_records"]
+    return found
+
+
+class RecordListener(StreamingQueryListener):
+    """Counts of every batch of the `counted` streams of a session, by query name, for as long as it listens.
+
+    A batch that is reported again after a restart replaces its earlier count.
+    """
+
+    def __init__(self, name: str = RECORDS):
+        self._name = name
+        self.batches: dict[tuple[str | None, int], int] = {}
+
+    def onQueryStarted(self, event) -> None: ...
+
+    def onQueryIdle(self, event) -> None: ...
+
+    def onQueryTerminated(self, event) -> None: ...
+
+    def onQueryProgress(self, event) -> None:
+        row = event.progress.observedMetrics.get(self._name)
+        if row is not None:
+            self.batches[(event.progress.name, event.progress.batchId)] = row["n_records"]

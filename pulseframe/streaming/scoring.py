@@ -61,6 +61,9 @@ class StreamTraining:
     least_rows: int = 100
     most_rows: int = 10_000_000
 
+    def see(self, usable: DataFrame, batch_id: int) -> None:
+        """Called with every batch of usable readings until there is a model."""
+
     def model_from(self, usable: DataFrame) -> PipelineModel | None:
         labelled, _ = split_complete(usable, SENSOR_TARGETS)
         rows = labelled.count()
@@ -130,6 +133,8 @@ def scoring_handler(
             if rows.isEmpty():
                 return
             usable, unusable = split_complete(rows, SENSOR_FEATURES)
+            if train_with is not None and models.latest(rows.sparkSession) is None:
+                train_with.see(usable, batch_id)
             model = current_model(usable)
             write(unusable, rejected, batch_id)
             if model is None:
