@@ -4,10 +4,9 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
-from pulseframe.staging import remove
+from pulseframe.staging import exists, remove
 
 
 class Manifest:
@@ -24,13 +23,9 @@ class Manifest:
         entry.write.parquet(f"{self._root}/{uuid.uuid4().hex}")
 
     def entries(self, spark: SparkSession) -> DataFrame:
-        reader = spark.read.schema(self._schema).option("recursiveFileLookup", "true")
-        try:
-            return reader.parquet(self._root)
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
+        if not exists(spark, self._root):
             return spark.createDataFrame([], self._schema)
+        return spark.read.schema(self._schema).option("recursiveFileLookup", "true").parquet(self._root)
 
     def compact(self, spark: SparkSession) -> None:
         """Write all entries to one file, then drop the files they came from; meanwhile some are listed twice."""

@@ -47,6 +47,25 @@ def stage(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def stage_bucketed(df: DataFrame, key: str, buckets: int, purpose: str) -> DataFrame:
+    """As `stage`, in buckets by `key`: joins and groups by the key then read the rows where they lie, without a shuffle.
+
+    The table has a name in the session's catalog; its files lie in the folder for work, like those of `stage`.
+    """
+    spark, path = df.sparkSession, work_dir(df.sparkSession, purpose)
+    name = f"bucketed_{uuid.uuid4().hex}"
+    # Each task writes the one bucket that its partition is.
+    placed = df.repartition(buckets, key)
+    placed.write.format("parquet").option("path", path).bucketBy(buckets, key).saveAsTable(name)
+    return spark.table(name)
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is a file or folder, in whatever file system it is."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Delete a folder, in whatever file system it is."""
     place = spark._jvm.org.apache.hadoop.fs.Path(path)
