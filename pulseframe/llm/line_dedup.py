@@ -212,7 +212,7 @@ def line_dedup(
     id_column: str = "doc_id",
     text: str = "text",
     carry: Sequence[str] = (),
-    every: bool = False,
+    every: bool = True,
 ) -> DataFrame:
     """doc_id, n_lines, n_removed, n_blocks, kept: texts without blocks aligned with an earlier document.
 

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pulseframe.llm import exchange
 from pulseframe.llm.components import components
 from pulseframe.llm.rolling import OTHER_BASE, Texts, Windows, Words, mix, positions
-from pulseframe.staging import stage
+from pulseframe.staging import stage, stage_bucketed
 
 SETS = "doc_id long, n_shingles long, one long, two long, sketch array<long>, probe array<long>, n_index int, tokens binary"
 LINKS = "a long, b long"
@@ -36,8 +36,8 @@ GROUP_SIZE = 64
 QUERIES_AT_ONCE = 512
 #: Min-hashes by which documents find their leader.
 SKETCH = 4
-#: Ids up to this number (16 MB) are sent to all executors rather than shuffled; either way gives the same rows.
-MOST_SENT_IDS = 1_000_000
+#: Text of which the sets lie in one bucket of the table of sets.
+SET_BUCKET_BYTES = 32 << 20
 #: Columns of a group's matrix that are in memory at once.
 MATRIX_COLUMNS = 1 << 16
 
@@ -177,12 +177,6 @@ def _spanning(near: np.ndarray) -> list[tuple[int, int]]:
     return edges
 
 
-def _with_rows(keys: DataFrame, rows: DataFrame, column: str, how: str = "inner") -> DataFrame:
-    """`rows` joined with `keys`, of which there is one a row; a small number of keys is sent to the rows."""
-    few = keys.count() <= MOST_SENT_IDS
-    return rows.join(F.broadcast(keys) if few else keys, column, how)
-
-
 def ngram_join(docs: DataFrame, size: int = 5, threshold: float = 0.75, id_column: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, n_shingles, component_id, class_id for every document.
 
@@ -211,7 +205,9 @@ def ngram_join(docs: DataFrame, size: int = 5, threshold: float = 0.75, id_colum
     counts = exchange.ask(chunks, request, exchange.count_reply)
     sets = stage(exchange.together(chunks, counts, sets_of, SETS), "ngram-sets")
 
-    alive = sets.where("tokens is not null")
+    # In buckets by id: whatever is joined with the sets moves to them, and they stay where they are.
+    buckets = max(1, -(-plan.chunks * exchange.CHUNK_BYTES // SET_BUCKET_BYTES))
+    alive = stage_bucketed(sets.where("tokens is not null"), "doc_id", buckets, "ngram-alive")
     same = ["one", "two", "n_shingles"]
     firsts = alive.groupBy(same).agg(F.min("doc_id").alias("class_id"))
     classes = stage(alive.select("doc_id", *same).join(firsts, same).groupBy("doc_id", *same).agg(F.min("class_id").alias("class_id")), "ngram-classes")
@@ -255,7 +251,7 @@ def _inside(leaders: DataFrame, sets: DataFrame, share: Fraction) -> DataFrame:
     members = crowded.select("doc_id", "leader", "part")
     heads = crowded.select(F.col("leader").alias("doc_id"), "leader", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part")).distinct()
     seats = members.union(heads).distinct().groupBy("doc_id").agg(F.collect_set(F.struct("leader", "part")).alias("seats"))
-    seated = _with_rows(seats, sets.select("doc_id", "n_shingles", "tokens"), "doc_id")
+    seated = sets.select("doc_id", "n_shingles", "tokens").join(seats, "doc_id")
     seated = seated.select("doc_id", "n_shingles", "tokens", F.explode("seats").alias("seat"))
     seated = seated.selectExpr("doc_id", "n_shingles", "tokens", "seat.leader AS leader", "seat.part AS part")
 
@@ -279,7 +275,7 @@ def _spread(rows: DataFrame) -> DataFrame:
 def _across(grouped: DataFrame, sets: DataFrame, share: Fraction) -> DataFrame:
     """Links between documents that links inside groups do not connect yet."""
     p, q = share.numerator, share.denominator
-    ranked = _with_rows(grouped, sets.select("doc_id", "n_shingles", "probe", "n_index"), "doc_id")
+    ranked = sets.select("doc_id", "n_shingles", "probe", "n_index").join(grouped, "doc_id")
     index = (
         ranked.where("n_index > 0")
         .select("leader", "part", "component", "n_shingles", F.explode(F.slice("probe", F.lit(1), F.col("n_index"))).alias("token"))
@@ -306,7 +302,7 @@ def _across(grouped: DataFrame, sets: DataFrame, share: Fraction) -> DataFrame:
     )
     members = members.groupBy("doc_id").agg(F.collect_set(F.struct("leader", "part", "turn", "component")).alias("seats"))
     rows = sets.select("doc_id", "n_shingles", "tokens")
-    left, right = _spread(_with_rows(members, rows, "doc_id")), _spread(_with_rows(queries, rows, "doc_id"))
+    left, right = _spread(rows.join(members, "doc_id")), _spread(rows.join(queries, "doc_id"))
 
     def opened(group: pa.Table, asked: pa.Table) -> pa.Table:
         if not group.num_rows or not asked.num_rows:

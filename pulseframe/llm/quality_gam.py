@@ -112,6 +112,11 @@ class Gam:
     pairs: list[tuple[int, int]]
     pair_tables: np.ndarray  # pairs by bins by bins
 
+    @property
+    def tells_apart(self) -> bool:
+        """Whether any feature makes a difference; not so where rows of both labels were lacking."""
+        return bool(self.tables.any() or self.pair_tables.any())
+
     def binned(self, x: np.ndarray) -> np.ndarray:
         return np.column_stack([np.searchsorted(e, x[:, j], "right") for j, e in enumerate(self.edges)])
 
@@ -294,6 +299,14 @@ def quality_scores(
 def quality_filter(
     docs: DataFrame, labels: DataFrame, settings: GamSettings = GamSettings(), threshold: float = 0.7, id_column: str = "doc_id", text: str = "text"
 ) -> DataFrame:
-    """The rows of the documents whose score reaches the threshold, with all their columns."""
-    scored = with_quality(docs, fit_quality(docs, labels, settings, id_column, text), text)
+    """The rows of the documents whose score reaches the threshold, with all their columns.
+
+    A null text is scored as an empty one. Rows without an id, and rows that share one, are judged by their texts; very long texts
+    are scored whole. Where the labels that may train are not of both kinds the model cannot tell texts apart, and all rows stay. An
+    empty table stays empty.
+    """
+    model = fit_quality(docs, labels, settings, id_column, text)
+    if not model.tells_apart:
+        return docs
+    scored = with_quality(docs, model, text)
     return scored.where(F.col("score") >= threshold).select("row.*")

@@ -22,6 +22,9 @@ from pulseframe.staging import stage
 BLOCK_VECTORS = 4096
 QUERIES_TOGETHER = 4096
 
+#: Whole numbers below this are exact in double arithmetic.
+EXACT = 1 << 53
+
 SEGMENTS = "block int, dims int, ids binary, levels array<int>, postings array<binary>"
 SCORES = "query_id long, vec_id long, score long"
 
@@ -39,14 +42,14 @@ def quantised(vectors: DataFrame, scale: int, id_column: str, vector: str) -> Da
 
 def _matrix(column: pa.ChunkedArray, dims: int) -> np.ndarray:
     flat = column.combine_chunks()
-    return flat.flatten().to_numpy(zero_copy_only=False).reshape(len(flat), dims).astype(np.float64)
+    return flat.flatten().to_numpy(zero_copy_only=False).reshape(len(flat), dims).astype(np.int64)
 
 
 def _segments(block: int, dims: int, ids: np.ndarray, values: np.ndarray) -> pa.Table:
     """Postings (vector, dimension, value) of a block by falling power of two of their magnitude."""
     level = np.zeros(values.shape, np.int64)
     filled = values != 0
-    level[filled] = np.frexp(np.abs(values[filled]))[1]  # magnitude < 2**level
+    level[filled] = np.frexp(np.abs(values[filled].astype(np.float64)))[1]  # magnitude < 2**level, or about that beyond 2**53
     rows, columns = np.nonzero(filled)
     flat, size = level[filled], values[filled].astype(np.int64)
     levels = np.unique(flat)[::-1]
@@ -65,6 +68,27 @@ def _segments(block: int, dims: int, ids: np.ndarray, values: np.ndarray) -> pa.
     )
 
 
+def _largest(values: np.ndarray) -> int:
+    return max(abs(int(values.min())), abs(int(values.max()))) if values.size else 0
+
+
+def _best_of_all(ids: np.ndarray, postings: list[bytes], names: np.ndarray, queries: np.ndarray, k: int):
+    """As _best for components so large that double arithmetic is not exact: whole numbers of any size, all scores."""
+    whole = np.zeros((len(ids), queries.shape[1]), object)
+    for blob in postings:
+        m = len(blob) // 16
+        whole[np.frombuffer(blob, np.int32, m), np.frombuffer(blob, np.int32, m, 4 * m)] = np.frombuffer(blob, np.int64, m, 8 * m).astype(object)
+    found = []
+    for name, query in zip(names, queries.astype(object)):
+        members = np.flatnonzero(ids != name)
+        exact = whole[members] @ query
+        order = sorted(range(len(members)), key=lambda i: (-exact[i], ids[members[i]]))[:k]
+        if any(not -(1 << 63) <= exact[i] < 1 << 63 for i in order):
+            raise OverflowError("a score passes 64 bits")
+        found.append((np.full(len(order), name), ids[members[order]], np.array([exact[i] for i in order], np.int64)))
+    return found
+
+
 def _best(ids: np.ndarray, levels: list[int], postings: list[bytes], names: np.ndarray, queries: np.ndarray, k: int):
     """(query, vector, score) of the k best of a block for every query, ties to smaller ids."""
     n, dims = len(ids), queries.shape[1]
@@ -121,16 +145,16 @@ def top_k(
 ) -> DataFrame:
     """query_id, rank, vec_id, score: the k best other vectors of every query by integer inner product.
 
-    Components become floor(scale * x). Ties go to the smaller vec_id; fewer than k rows
+    Components become floor(scale * x), and scores are exact; one beyond 64 bits raises. Ties go to the smaller vec_id; fewer than k rows
     come only where there are fewer other vectors. A vector that is null or has a null or
     non-finite component takes no part, as query or candidate; nor does one without an id. Vectors are
     compared with those of equal length. A query's own id is no candidate. Rows that repeat an id
-    and vector count once; an id with several vectors counts each. Other columns are ignored.
+    count each, as candidates and as queries. Other columns are ignored. Empty tables give no rows.
     """
-    index = quantised(vectors, scale, id_column, vector).distinct()
+    index = quantised(vectors, scale, id_column, vector)
     count = index.count()
     blocks = max(1, -(-count // BLOCK_VECTORS))
-    dealt = index.select("vec_id", "v", F.size("v").alias("dims"), F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).cast("int").alias("block"))
+    dealt = index.select("vec_id", "v", F.size("v").alias("dims"), F.pmod(F.xxhash64("vec_id", F.monotonically_increasing_id()), F.lit(blocks)).cast("int").alias("block"))
 
     def segments(table: pa.Table) -> pa.Table:
         dims, block = int(table.column("dims")[0].as_py()), int(table.column("block")[0].as_py())
@@ -138,9 +162,9 @@ def top_k(
         return _segments(block, dims, exchange.column(table, "vec_id"), _matrix(table.column("v"), dims))
 
     built = stage(dealt.groupBy("block", "dims").applyInArrow(segments, SEGMENTS), "impact-index")
-    asked = quantised(queries, scale, id_column, vector).distinct()
+    asked = quantised(queries, scale, id_column, vector)
     turns = max(1, -(-asked.count() // QUERIES_TOGETHER))
-    turn = F.pmod(F.xxhash64("vec_id"), F.lit(turns)).cast("int")
+    turn = F.pmod(F.xxhash64("vec_id", F.monotonically_increasing_id()), F.lit(turns)).cast("int")
     # Every block of queries meets every block of the index: the stated queries against all rows.
     every = F.explode(F.sequence(F.lit(0), F.lit(turns - 1))).alias("turn")
     left = built.select("block", "dims", "ids", "levels", "postings", every)
@@ -153,8 +177,13 @@ def top_k(
             names, wanted = exchange.column(mine, "vec_id"), _matrix(mine.column("v"), dims)
             ids = np.frombuffer(block.column("ids")[0].as_py(), np.int64)
             levels, postings = block.column("levels")[0].as_py(), block.column("postings")[0].as_py()
+            largest = max((_largest(np.frombuffer(b, np.int64, -1, len(b) // 2)) for b in postings), default=0)
+            exact = dims * largest * _largest(wanted) < EXACT
             for at in range(0, len(names), 256):
-                found += _best(ids, levels, postings, names[at : at + 256], wanted[at : at + 256], k)
+                if not exact:
+                    found += _best_of_all(ids, postings, names[at : at + 256], wanted[at : at + 256], k)
+                    continue
+                found += _best(ids, levels, postings, names[at : at + 256], wanted[at : at + 256].astype(np.float64), k)
         join = lambda i: np.concatenate([f[i] for f in found]) if found else np.empty(0, np.int64)
         return pa.table({"query_id": pa.array(join(0), pa.int64()), "vec_id": pa.array(join(1), pa.int64()), "score": pa.array(join(2), pa.int64())})
 

@@ -13,13 +13,11 @@ SCHEMA = "vec_id long, embedding array<float>, label int, v string, block string
 
 
 def all_scores(rows, queries_, k=10):
-    usable = {(i, tuple(v)) for i, v in rows if i is not None and v is not None and all(x is not None and np.isfinite(x) for x in v)}
+    usable = [(i, tuple(v)) for i, v in rows if i is not None and v is not None and all(x is not None and np.isfinite(x) for x in v)]
     values = sorted((i, [int(np.floor(1024 * float(np.float32(x)))) for x in v]) for i, v in usable)
     out = []
-    for q, v in values:
-        if q not in queries_:
-            continue
-        scores = sorted((-sum(a * b for a, b in zip(v, w)), i) for i, w in values if i != q and len(w) == len(v))
+    for q in {i for i, _ in values} & set(queries_):
+        scores = sorted((-sum(a * b for a, b in zip(v, w)), i) for p, v in values if p == q for i, w in values if i != q and len(w) == len(v))
         out += [(q, n + 1, i, -s) for n, (s, i) in enumerate(scores[:k])]
     return out
 
@@ -49,6 +47,15 @@ def test_top_k(shipped, vectors, monkeypatch, block):
 
 def test_few_vectors_and_repeats(shipped):
     rows = [(0, [1.0, 0.5]), (0, [1.0, 0.5]), (1, [0.25, -1.0]), (2, [3.0, 3.0, 3.0])]
-    assert run(shipped, rows) == [(0, 1, 1, 1024 * 256 - 512 * 1024)]
+    # Repeated rows count each, as queries too.
+    assert run(shipped, rows) == [(0, 1, 1, 1024 * 256 - 512 * 1024), (0, 2, 1, 1024 * 256 - 512 * 1024)]
     assert run(shipped, []) == []
     assert run(shipped, [(100, [1.0])]) == []
+
+
+@pytest.mark.parametrize("size", [2.0**17, 2.0**20 + 1])
+def test_large_components_stay_exact(shipped, size):
+    """Scores beyond 2**53, whose last digits decide."""
+    rng = random.Random(6)
+    rows = [(i, [size + rng.randrange(4), -size + rng.randrange(4), rng.random()]) for i in range(60)]
+    assert run(shipped, rows) == sorted(all_scores(rows, {0}))
