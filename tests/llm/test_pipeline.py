@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from collections import Counter
+
 import brute
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 import corpus_pipeline
@@ -13,7 +16,7 @@ from pulseframe.staging import stage
 
 def test_registered():
     names = set(entry.queries())
-    assert {n.split("_")[0] for n in names if n.startswith("op")} == {f"op{k}" for k in range(1, 11)}
+    assert {n.split("_")[0] for n in names if n.startswith("op")} == {f"op{k}" for k in range(1, 14)}
     assert "pipeline" in names and ("pipeline" in entry.oracle_sql()) == (corpus_pipeline.ORACLE_SQL is not None)
 
 
@@ -81,7 +84,26 @@ def test_empty_tables(shipped, small, tmp_path, empty):
         table = shipped.read.parquet(f"{small}/{name}.parquet")
         (table.limit(0) if name == empty else table).write.parquet(str(tmp_path / f"{name}.parquet"))
     rows = corpus_pipeline.run(shipped, str(tmp_path)).count()
-    assert rows == 0
+    # Without labels nothing is rejected for its quality.
+    assert (rows == 0) == (empty == "documents")
+
+
+def test_rows_without_an_id_and_rows_that_share_one_stay(make_docs, shipped, small):
+    import random
+
+    from conftest import sentence
+
+    rng = random.Random(12)
+    a, b, c, d = (sentence(rng, 60) for _ in range(4))
+    rows = [(1, a), (1, b), (1, b), (None, c), (None, d), (None, None), (4, a + " more"), (9, c), (3, ""), (3, None)]
+    docs = make_docs(rows).select("doc_id", "text", "lang", "source", F.lit(7).cast("long").alias("n_chars"))
+    kept = corpus_pipeline.keep_one_of_similar(shipped, docs, small)
+    assert kept.columns == corpus_pipeline.COLUMNS
+    assert Counter((r.doc_id, r.text) for r in kept.collect()) == Counter([(1, a), (1, b), (9, c), (None, d), (None, None), (3, ""), (3, None)])
+    lines = corpus_pipeline.drop_repeated_lines(shipped, docs, small)
+    assert sum(r.doc_id is None for r in lines.collect()) == 3
+    quality = corpus_pipeline.keep_quality(shipped, docs, small)
+    assert quality.columns == corpus_pipeline.COLUMNS
 
 
 @pytest.mark.parametrize("name", sorted(corpus.ORACLE_SQL))
