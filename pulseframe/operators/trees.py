@@ -94,8 +94,13 @@ def _indexed(df: DataFrame, stage: StringIndexerModel) -> DataFrame:
         return df.withColumn(output, index.otherwise(F.lit(float(len(labels)))))
     if stage.getHandleInvalid() == "skip":
         return df.withColumn(output, index).where(F.col(output).isNotNull())
-    unseen = F.raise_error(F.concat(F.lit(f"{stage.getInputCol()} has a value that was not seen: "), F.coalesce(column, F.lit("NULL"))))
-    return df.withColumn(output, index.otherwise(unseen.cast("double")))
+    message = F.concat(F.lit(f"{stage.getInputCol()} has a value that was not seen: "), F.coalesce(column, F.lit("NULL")))
+    return _required(df.withColumn(output, index), F.col(output).isNotNull(), message)
+
+
+def _required(df: DataFrame, good: Column, message: Column) -> DataFrame:
+    """`df`, which fails at a row that is not good. A filter, since the optimizer drops columns that no tree asks for."""
+    return df.where(F.when(good, F.lit(True)).otherwise(F.raise_error(message).cast("boolean")))
 
 
 def _checked(df: DataFrame, stage: VectorAssembler) -> tuple[DataFrame, list[str]]:
@@ -109,8 +114,7 @@ def _checked(df: DataFrame, stage: VectorAssembler) -> tuple[DataFrame, list[str
     elif how == "keep":
         values = [F.coalesce(value, F.lit(float("nan"))) for value in values]
     else:
-        failed = F.raise_error(F.lit(f"one of {', '.join(inputs)} is missing")).cast("double")
-        values[0] = F.when(missing, failed).otherwise(values[0])
+        df = _required(df, ~missing, F.lit(f"one of {', '.join(inputs)} is missing"))
     names = [f"_{stage.getOutputCol()}_{place}" for place in range(len(inputs))]
     return df.withColumns(dict(zip(names, values))), names
 
