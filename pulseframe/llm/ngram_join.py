@@ -27,7 +27,7 @@ from pulseframe.llm.components import components
 from pulseframe.llm.rolling import OTHER_BASE, Texts, Windows, Words, mix, positions
 from pulseframe.staging import stage, stage_bucketed
 
-SETS = "doc_id long, n_shingles long, one long, two long, sketch array<long>, probe array<long>, n_index int, tokens binary"
+SETS = "doc_id long, n_shingles long, one long, two long, sketch array<long>, probe array<long>, n_index int, n_held int, tokens binary"
 LINKS = "a long, b long"
 
 #: Members of a group, its leader apart.
@@ -84,10 +84,10 @@ def _set_rows(rows: pa.Table, keys: np.ndarray, owner: np.ndarray, place: np.nda
     order = np.lexsort((token, level, owner))
     owner, token, level = owner[order], token[order], level[order]
     bounds = np.searchsorted(owner, np.arange(len(ids) + 1))
-    sketch, probe, n_index, tokens = [], [], [], []
+    sketch, probe, n_index, n_held, tokens = [], [], [], [], []
     for i in range(len(ids)):
         if not open_[i]:
-            sketch.append(None), probe.append(None), n_index.append(None), tokens.append(None)
+            sketch.append(None), probe.append(None), n_index.append(None), n_held.append(None), tokens.append(None)
             continue
         lo, hi = bounds[i], bounds[i + 1]
         alone = int(n[i] - shared[i])
@@ -98,6 +98,7 @@ def _set_rows(rows: pa.Table, keys: np.ndarray, owner: np.ndarray, place: np.nda
         n_first = size - -(-2 * p * size // (p + q)) + 1
         probe.append(held[: max(0, n_probe - alone)].view(np.int64))
         n_index.append(max(0, n_first - alone))
+        n_held.append(len(held))
         sketch.append([int(mix(held ^ seed).min().view(np.int64)) for seed in _SEEDS])
         tokens.append(held.tobytes())
     return pa.table(
@@ -109,6 +110,7 @@ def _set_rows(rows: pa.Table, keys: np.ndarray, owner: np.ndarray, place: np.nda
             "sketch": pa.array(sketch, pa.list_(pa.int64())),
             "probe": pa.array(probe, pa.list_(pa.int64())),
             "n_index": pa.array(n_index, pa.int32()),
+            "n_held": pa.array(n_held, pa.int32()),
             "tokens": pa.array(tokens, pa.binary()),
         }
     )
@@ -275,17 +277,24 @@ def _spread(rows: DataFrame) -> DataFrame:
 def _across(grouped: DataFrame, sets: DataFrame, share: Fraction) -> DataFrame:
     """Links between documents that links inside groups do not connect yet."""
     p, q = share.numerator, share.denominator
-    ranked = sets.select("doc_id", "n_shingles", "probe", "n_index").join(grouped, "doc_id")
+    ranked = sets.select("doc_id", "n_shingles", "probe", "n_index", "n_held").join(grouped, "doc_id")
+    # Two sets share, beside their first common n-gram, no more than what follows it in either.
+    following = (F.col("n_held") - F.col("place") - 1).alias("following")
     index = (
         ranked.where("n_index > 0")
-        .select("leader", "part", "component", "n_shingles", F.explode(F.slice("probe", F.lit(1), F.col("n_index"))).alias("token"))
+        .select("leader", "part", "component", "n_shingles", "n_held", F.posexplode(F.slice("probe", F.lit(1), F.col("n_index"))).alias("place", "token"))
+        .select("leader", "part", "component", "n_shingles", "token", following)
         .groupBy("token", "leader", "part", "component")
-        .agg(F.min("n_shingles").alias("least"), F.max("n_shingles").alias("most"))
+        .agg(F.min("n_shingles").alias("least"), F.max("n_shingles").alias("most"), F.max("following").alias("theirs"))
     )
-    asking = ranked.select("doc_id", F.col("n_shingles").alias("n"), F.col("component").alias("own"), F.explode("probe").alias("token"))
+    asking = ranked.select(
+        "doc_id", F.col("n_shingles").alias("n"), F.col("component").alias("own"), "n_held", F.posexplode("probe").alias("place", "token")
+    ).select("doc_id", "n", "own", "token", following)
+    smallest = F.greatest("least", F.expr(f"n * {p} div {q}"))
+    enough = (F.least("following", "theirs") + 1) * (p + q) >= (F.col("n") + smallest) * p
     asked = (
         asking.join(index, "token")
-        .where((F.col("own") != F.col("component")) & (F.col("n") >= F.col("least")) & (F.col("n") * p <= F.col("most") * q))
+        .where((F.col("own") != F.col("component")) & (F.col("n") >= F.col("least")) & (F.col("n") * p <= F.col("most") * q) & enough)
         .select(F.col("doc_id"), "leader", "part", "component")
         .distinct()
     )
