@@ -26,6 +26,8 @@ MERGED = "sequence_id long, target long, shift long"
 BATCH_CHARS = 1 << 20
 #: Tasks whose open sequences are packed together.
 TASKS_TOGETHER = 32
+#: Pieces of closed sequences that are handed on at a time.
+ROWS_AT_ONCE = 10_000
 
 
 class OpenSequences:
@@ -36,6 +38,8 @@ class OpenSequences:
         self.bits = 0
         self.by_free: dict[int, list[int]] = {}
         self.next_name = 0
+        #: Sequences that no piece can join any more, until the caller clears the list.
+        self.closed: list[int] = []
 
     def _take(self, free: int) -> int:
         names = self.by_free[free]
@@ -59,11 +63,13 @@ class OpenSequences:
             name = self._take(free)
         else:
             if self.count == self.most:
-                self._take((self.bits & -self.bits).bit_length() - 1)
+                self.closed.append(self._take((self.bits & -self.bits).bit_length() - 1))
             free, name = self.size, self.next_name
             self.next_name += 1
         if free > length:
             self._put(name, free - length)
+        else:
+            self.closed.append(name)
         return name, self.size - free
 
     def open_names(self) -> set[int]:
@@ -96,6 +102,8 @@ def _tokenised(parts: Iterator[pa.RecordBatch], path: str | None, end_id: int) -
 def _pack(parts: Iterator[pa.RecordBatch], path: str | None, size: int, end_id: int, most_open: int) -> Iterator[pa.RecordBatch]:
     base = TaskContext.get().partitionId() << 33
     bins = OpenSequences(size, most_open)
+    # Pieces wait for their sequence to close, so that no more of them are held than open sequences have.
+    waiting: dict[int, list[tuple]] = {}
     rows: list[tuple] = []
     for batch in _tokenised(parts, path, end_id):
         pieces = []
@@ -104,11 +112,19 @@ def _pack(parts: Iterator[pa.RecordBatch], path: str | None, size: int, end_id:
                 pieces.append((name, piece, start, length, zlib.crc32(ids[4 * start : 4 * (start + length)])))
         # Of the pieces at hand the longest come first: they fit in the fewest places.
         for row in sorted(pieces, key=lambda p: -p[3]):
-            rows.append((*row, *bins.place(row[3])))
-    yield _piece_rows(rows, base, bins.open_names())
-
-
-def _piece_rows(rows: list[tuple], base: int, open_names: set[int]) -> pa.RecordBatch:
+            placed = bins.place(row[3])
+            waiting.setdefault(placed[0], []).append((*row, *placed))
+            for sequence in bins.closed:
+                rows += waiting.pop(sequence)
+            bins.closed.clear()
+            if len(rows) >= ROWS_AT_ONCE:
+                yield _piece_rows(rows, base, False)
+                rows = []
+    yield _piece_rows(rows, base, False)
+    yield _piece_rows([row for held in waiting.values() for row in held], base, True)
+
+
+def _piece_rows(rows: list[tuple], base: int, is_open: bool) -> pa.RecordBatch:
     columns = list(zip(*rows)) if rows else [[]] * 7
     arrays = [
         pa.array(columns[0], pa.int64()),
@@ -116,7 +132,7 @@ def _piece_rows(rows: list[tuple], base: int, open_names: set[int]) -> pa.Record
         *(pa.array(c, pa.int64()) for c in columns[2:5]),
         pa.array([base + s for s in columns[5]], pa.int64()),
         pa.array(columns[6], pa.int64()),
-        pa.array([s in open_names for s in columns[5]], pa.bool_()),
+        pa.array([is_open] * len(rows), pa.bool_()),
     ]
     names = ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset", "open"]
     return pa.RecordBatch.from_arrays(arrays, names=names)
@@ -139,7 +155,8 @@ def pack(
     default that of the public byte-level BPE.
 
     A null text is empty and consists of `end_id`. Every row is packed, rows without an id and rows
-    that share one too. Other columns are ignored. Which documents meet in a sequence depends on
+    that share one too. Other columns are ignored. A task holds the pieces of its open sequences and about a
+    megabyte of text, or one text if that is longer. Which documents meet in a sequence depends on
     how the input is partitioned; lengths, pieces and ids do not.
     """
     source = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
