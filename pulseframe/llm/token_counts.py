@@ -8,6 +8,7 @@ word end keeps its count, and documents add up the counts of their words.
 
 from __future__ import annotations
 
+import itertools
 import math
 import os.path
 from collections.abc import Iterator
@@ -24,6 +25,8 @@ SPACE = "▁"
 ROWS_AT_ONCE = 1000
 MOST_WORDS = 200_000
 LONGEST_WORD = 64
+#: Depth to which forward scores are kept for the next word; beyond it they are computed again.
+DEEPEST = 256
 #: Log-probability of a byte of a character that no piece covers, below that of the rarest piece.
 BYTE_PENALTY = 10.0
 
@@ -64,35 +67,41 @@ class Counter:
 
     def counts(self, words: list[str]) -> list[int]:
         """Of every word, which come in code point order."""
-        # At every depth of the current word: the best (score, -pieces), and pieces begun and not ended.
+        # At every depth of the current word, as far as `DEEPEST`: the best (score, -pieces), and pieces begun and not ended.
         best: list[tuple[float, int]] = [(0.0, 0)]
         begun: list[list[tuple[tuple[float, int], dict]]] = [[]]
         found, before = [], ""
         for word in words:
-            shared = len(os.path.commonprefix((before, word)))
+            shared = min(len(os.path.commonprefix((before, word))), len(best) - 1)
             del best[shared + 1 :], begun[shared + 1 :]
-            for c in word[shared:]:
-                here, going = None, []
-                start = best[-1]
-                for origin, node in [*begun[-1], (start, self.root)]:
-                    child = node.get(c)
-                    if child is not None:
-                        going.append((origin, child))
-                        if "" in child:
-                            ended = (origin[0] + child[""], origin[1] - 1)
-                            if here is None or ended > here:
-                                here = ended
-                if c not in self.root or "" not in self.root[c]:
-                    n = len(c.encode("utf-8", "surrogatepass"))
-                    spelled = (start[0] + n * self.byte, start[1] - n)
-                    if here is None or spelled > here:
-                        here = spelled
-                best.append(here)
-                begun.append(going)
-            found.append(-best[-1][1])
+            start, going = best[-1], begun[-1]
+            for c in itertools.islice(word, shared, None):
+                start, going = self._step(c, start, going)
+                if len(best) <= DEEPEST:
+                    best.append(start)
+                    begun.append(going)
+            found.append(-start[1])
             before = word
         return found
 
+    def _step(self, c: str, start: tuple[float, int], begun: list[tuple[tuple[float, int], dict]]):
+        """The best score behind one more character, and the pieces begun and not ended there."""
+        here, going = None, []
+        for origin, node in [*begun, (start, self.root)]:
+            child = node.get(c)
+            if child is not None:
+                going.append((origin, child))
+                if "" in child:
+                    ended = (origin[0] + child[""], origin[1] - 1)
+                    if here is None or ended > here:
+                        here = ended
+        if c not in self.root or "" not in self.root[c]:
+            n = len(c.encode("utf-8", "surrogatepass"))
+            spelled = (start[0] + n * self.byte, start[1] - n)
+            if here is None or spelled > here:
+                here = spelled
+        return here, going
+
     def totals(self, texts: list[bytes]) -> list[tuple[int, int]]:
         """(words, tokens) of every text."""
         if len(self.known) > MOST_WORDS:
@@ -120,7 +129,8 @@ def token_counts(docs: DataFrame, tokenizer: str | None = None, id_column: str =
     Words are runs of characters other than ASCII white space. A word, with a space mark before it, is cut
     into the pieces of the `tokenizer` file whose summed log-probability is highest; a character that
     is no piece may be spelled in bytes. A null or blank text has none. Every row is counted, rows
-    without an id and rows that share one too. Other columns are ignored.
+    without an id and rows that share one too. Other columns are ignored. A word of any length, such as a
+    text without spaces, takes time in proportion to its length and no memory besides its own.
     """
     source = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text).cast("binary").alias("text"))
 

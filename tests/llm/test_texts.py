@@ -5,11 +5,14 @@ from __future__ import annotations
 import base64
 import json
 import random
+import tracemalloc
+import types
 import zlib
 from collections import defaultdict
 
 import brute
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from pulseframe.llm import packing, queries, secret_scan, token_counts
@@ -179,6 +182,27 @@ def test_counter_starts_anew(monkeypatch):
     assert counter.totals([b"ab ab a", b"b"]) == counter.totals([b"ab ab a", b"b"]) == [(3, 5), (1, 2)]
 
 
+@pytest.mark.parametrize("deepest", [0, 1, 3, 256])
+def test_long_words_that_begin_alike(monkeypatch, deepest):
+    monkeypatch.setattr(token_counts, "DEEPEST", deepest)
+    pieces = {"a": -1.0, "b": -1.25, "ab": -1.5, "aba": -1.75, "bab": -2.5, "ca": -3.0, token_counts.SPACE: -3.0, token_counts.SPACE + "a": -2.0}
+    rng = random.Random(deepest)
+    stems = ["".join(rng.choice("abcé") for _ in range(n)) for n in (2, 5, 300)]
+    words = sorted({token_counts.SPACE + rng.choice(stems) + "".join(rng.choice("abc") for _ in range(rng.randrange(6))) for _ in range(80)})
+    counter = token_counts.Counter(pieces)
+    assert counter.counts(words) == [best_count(w, pieces, counter.byte) for w in words]
+
+
+def test_a_long_word_takes_little_memory():
+    counter = token_counts.Counter({"a": -1.0, "ab": -1.5, "aba": -1.75, "b": -1.0, token_counts.SPACE: -3.0})
+    words = [token_counts.SPACE + "ab" * 50_000, token_counts.SPACE + "ab" * 50_000 + "a"]
+    tracemalloc.start()
+    counter.counts(words)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 1 << 20
+
+
 # Packing.
 
 
@@ -199,6 +223,42 @@ def test_open_sequences():
     assert [bins.place(n)[0] for n in (6, 7, 8, 4, 2)] == [0, 1, 2, 0, 2]  # the fullest, 1, closed for 2
 
 
+def test_closed_sequences_are_named_once():
+    rng = random.Random(3)
+    bins, met, closed = packing.OpenSequences(50, 4), set(), []
+    for _ in range(2000):
+        name, _ = bins.place(rng.randrange(1, 51))
+        assert name not in closed[:-1] and (name not in closed)
+        met.add(name)
+        closed += bins.closed
+        bins.closed.clear()
+    assert len(closed) == len(set(closed)) and set(closed) | bins.open_names() == met and not set(closed) & bins.open_names()
+
+
+def test_pieces_leave_when_their_sequence_closes(monkeypatch):
+    """No batch, and nothing that waits, grows with the task."""
+    monkeypatch.setattr(packing, "ROWS_AT_ONCE", 50)
+    monkeypatch.setattr(packing, "BATCH_CHARS", 2000)
+    monkeypatch.setattr(packing.TaskContext, "get", lambda: type("Task", (), {"partitionId": lambda self: 3})())
+    rng = random.Random(6)
+    texts = [" ".join(f"word{rng.randrange(99)}" for _ in range(rng.randrange(30))) for _ in range(3000)]
+    read = []
+
+    def parts():
+        for at in range(0, len(texts), 100):
+            read.append(at)
+            yield pa.RecordBatch.from_pydict({"doc_id": list(range(at, at + 100)), "text": texts[at : at + 100]})
+
+    out, early = [], 0
+    for batch in packing._pack(parts(), None, 64, 2, 8):
+        early += len(batch) > 0 and len(read) < len(texts) // 100
+        assert len(batch) <= 50 + 64
+        out += [types.SimpleNamespace(**r) for r in batch.to_pylist()]
+    assert early > 20
+    check_packing(list(enumerate(texts)), out, 64)
+    assert len({r.sequence_id for r in out if r.open}) <= 8 and len({(r.sequence_id, r.open) for r in out}) == len({r.sequence_id for r in out})
+
+
 def test_cuts():
     assert packing.cuts(5, 4) == [(0, 1), (1, 4)]
     assert packing.cuts(8, 4) == [(0, 4), (4, 4)]
