@@ -614,9 +614,11 @@ def jdbc_slices(spark, base):
 
 def quantile_slices(spark, base):
     """Slices of a key that crowds at its low end: rows, rows taken once, and whether no slice is far above the mean."""
-    key = (F.col("o_orderkey") * F.col("o_orderkey") * F.col("o_orderkey")).alias("k")
+    # The cube passes 64 bits beyond keys of 2,097,151; as an exact decimal it holds keys up to 10**12.
+    whole = F.col("o_orderkey").cast("decimal(38,0)")
+    key = (whole * whole * whole).alias("k")
     orders = stage(read_table(spark, base, "orders").select(key), "orders")
-    low, high = orders.agg(F.min("k"), F.max("k")).first()
+    low, high = (None if v is None else int(v) for v in orders.agg(F.min("k"), F.max("k")).first())
     methods = {"range": range_slices("k", low, high, 8), "quantile": cut_slices("k", quantile_cuts(orders, "k", 8))}
     columns = []
     for method, slices in methods.items():

@@ -116,3 +116,12 @@ def test_key_bound_and_a_sketch_that_is_too_low(spark, monkeypatch):
     monkeypatch.setattr(extract, "key_bound", lambda *_: next(bounds))
     rows = spark.range(0, 5000).select(F.col("id").alias("hadm_id"), F.current_timestamp().alias("charttime"), F.lit(1).alias("itemid"))
     assert [r["hadm_id"] for r in extract.first_in_chart_order(rows, 50).collect()] == list(range(50))
+
+
+def test_quantile_slices_of_keys_whose_cube_passes_64_bits(spark, tmp_path):
+    from pulseframe.plans.catalog import quantile_slices
+
+    spark.range(3_000_000, 3_004_000).select(F.col("id").alias("o_orderkey")).write.parquet(str(tmp_path / "orders.parquet"))
+    rows = {r["method"]: r for r in quantile_slices(spark, str(tmp_path)).collect()}
+    assert {m: (r["n_rows"], r["n_taken_once"]) for m, r in rows.items()} == {"range": (4000, 4000), "quantile": (4000, 4000)}
+    assert rows["quantile"]["even"]
