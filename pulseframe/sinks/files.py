@@ -14,9 +14,17 @@ from pulseframe.sinks.manifest import Manifest
 LABEL_HEADER = "Systolic BP"
 
 
+def single_task(df: DataFrame) -> DataFrame:
+    """All rows in one partition, after the steps above have run in their own tasks.
+
+    coalesce(1) would pull those steps, joins and aggregates too, into the one task.
+    """
+    return df.repartition(1)
+
+
 def write_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
-    """Header, overwrite. `single_file` sends all rows through one task: small outputs only."""
-    (df.coalesce(1) if single_file else df).write.csv(path, header=True, mode="overwrite")
+    """Header, overwrite. `single_file` sends all rows through one task, which only writes them."""
+    (single_task(df) if single_file else df).write.csv(path, header=True, mode="overwrite")
 
 
 def write_predictions(predictions: DataFrame, path: str, single_file: bool = False) -> None:

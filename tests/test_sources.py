@@ -234,3 +234,21 @@ def test_filters_reach_a_source_of_other_types(spark, small, tmp_path):
     pushed = next(line for line in plan.splitlines() if "PushedFilters" in line)
     assert "In(itemid" in pushed and "IsNull(error)" in pushed and "IsNotNull(valuenum)" in pushed
     assert found.count() == valid_readings(tables.chartevents, codes).count()
+
+
+def test_a_single_file_is_written_after_the_steps_above_ran_in_parallel(spark, tmp_path):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("single-file", "single-file")
+    try:
+        counts = spark.range(0, 10_000, 1, 4).groupBy((F.col("id") % 100).alias("g")).count()
+        write_csv(counts, str(tmp_path / "csv"), single_file=True)
+        stages = [s for j in tracker.getJobIdsForGroup("single-file") for s in tracker.getJobInfo(j).stageIds]
+        tasks = sorted(tracker.getStageInfo(s).numTasks for s in stages)
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    # The aggregate runs in as many tasks as there are shuffle partitions; only the writing is one task.
+    assert int(spark.conf.get("spark.sql.shuffle.partitions")) in tasks and tasks[0] == 1
+    back = spark.read.csv(str(tmp_path / "csv"), header=True)
+    assert back.count() == 100 and back.select(F.input_file_name()).distinct().count() == 1
